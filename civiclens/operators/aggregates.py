@@ -93,15 +93,15 @@ def fold_copies(df: DataFrame) -> DataFrame:
 def unfold_copies(df: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
     """Inverse of :func:`fold_copies`, sorted by ``order`` if given.
 
-    A sort sees one row per ten thousand copies, numbered, so that the range
-    partitioning can split a group of copies too. The copies come back after
-    it, without a further shuffle.
+    A sort sees one row per ten thousand copies, numbered as the last key, so
+    that the range partitioning can split a group of copies too. The copies
+    come back after it, without a further shuffle.
     """
     columns = [name for name in df.columns if name != COPIES]
     last = F.floor((F.col(COPIES) - 1) / _COPIES_PER_ROW)
     parts = df.withColumn("part", F.explode(F.sequence(F.lit(0), last)))
     if order:
-        parts = parts.orderBy(*order, *columns, "part")
+        parts = parts.orderBy(*order, "part")
     left = F.col(COPIES) - F.col("part") * _COPIES_PER_ROW
     copies = F.sequence(F.lit(1), F.least(left, F.lit(_COPIES_PER_ROW)))
     return parts.withColumn("copy", F.explode(copies)).select(*columns)

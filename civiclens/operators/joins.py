@@ -5,6 +5,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civiclens.scratch import materialise
+
 BROADCAST_ROWS = 100_000
 HOT_SHARE = 1_000
 
@@ -24,12 +26,15 @@ def equi_join(
     strategy: str | None = None,
     *,
     broadcast_rows: int = BROADCAST_ROWS,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join on equal column names.
 
     ``BROADCAST`` counts the right side first and is left to the planner if it
-    has over ``broadcast_rows`` rows. ``MERGE`` and ``SHUFFLE_HASH`` are hints.
-    ``REPLICATE_HOT_KEYS`` is :func:`hot_key_join` with ``left`` unique per key.
+    has over ``broadcast_rows`` rows; ``bound`` is counted in its place if given,
+    a table that has at least as many rows and is cheaper to count. ``MERGE``
+    and ``SHUFFLE_HASH`` are hints. ``REPLICATE_HOT_KEYS`` is
+    :func:`hot_key_join` with ``left`` unique per key.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}")
@@ -37,7 +42,7 @@ def equi_join(
     if strategy == "REPLICATE_HOT_KEYS":
         columns = [*left.columns, *[name for name in right.columns if name not in on]]
         return hot_key_join(right, left, on).select(*columns)
-    if strategy == "BROADCAST" and not fits(right, broadcast_rows):
+    if strategy == "BROADCAST" and not fits(right if bound is None else bound, broadcast_rows):
         strategy = None
     return left.join(right.hint(strategy) if strategy else right, on)
 
@@ -48,13 +53,15 @@ def hot_key_join(
     """Inner join of ``many`` rows per key with ``one`` row per key, safe for hot keys.
 
     A key is hot if it holds over ``1 / hot_share`` of ``many``, so fewer than
-    ``hot_share`` keys are. Their rows of ``one`` are replicated to every task,
-    and their rows of ``many`` stay where they are; the rest is shuffled.
+    ``hot_share`` keys are. They are counted and written first. Their rows of
+    ``one`` are replicated to every task, and their rows of ``many`` stay where
+    they are; the rest is shuffled.
     """
     on = list(on)
     counts = many.groupBy(*on).agg(F.count("*").alias("key_rows"))
     total = counts.agg(F.sum("key_rows")).scalar()
-    hot = F.broadcast(counts.filter(F.col("key_rows") * hot_share > total).select(*on))
+    hot = materialise(counts.filter(F.col("key_rows") * hot_share > total).select(*on), "hot-keys")
+    hot = F.broadcast(hot)
     replicated = many.join(F.broadcast(one.join(hot, on, "left_semi")), on)
     shuffled = many.join(hot, on, "left_anti").join(one, on)
     return replicated.unionByName(shuffled)

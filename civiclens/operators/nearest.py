@@ -35,6 +35,7 @@ MAX_VECTOR_SITES = 256
 
 # Cell sides in degrees, each a quarter of the one before.
 _CELL_SIDES = tuple(16.0 / 4**level for level in range(9))
+_FIRST_CELLS = 256
 _SITES_PER_POINT = 8
 _SITES_PER_LIST = 64
 _ROUNDING_KM = 1e-6
@@ -50,8 +51,11 @@ def nearest_site(points: DataFrame, sites: DataFrame, method: str | None = None)
     """
     if method not in (None, *METHODS):
         raise ValueError(f"unknown method {method!r}")
-    points = points.filter(is_located(F.col("lat"), F.col("lon")))
-    sites = _distinct_sites(sites)
+    located = is_located(F.col("lat"), F.col("lon"))
+    points = points.filter(located)
+    sites = sites.filter(located).select(
+        "site", F.col("lat").alias("site_lat"), F.col("lon").alias("site_lon")
+    )
     few = [] if method == "grid" else sites.take(MAX_VECTOR_SITES + 1)
     if method == "grid" or len(few) > MAX_VECTOR_SITES:
         return _nearest_by_grid(points, sites)
@@ -70,15 +74,6 @@ def nearest_summary(
     ).orderBy(F.desc(count), F.asc("site"))
 
 
-def _distinct_sites(sites: DataFrame) -> DataFrame:
-    """Located sites, one per place: the smaller name wins there anyway."""
-    return (
-        sites.filter(is_located(F.col("lat"), F.col("lon")))
-        .groupBy(F.col("lat").alias("site_lat"), F.col("lon").alias("site_lon"))
-        .agg(F.min("site").alias("site"))
-    )
-
-
 def _with_nearest(points: DataFrame, nearest: Column) -> DataFrame:
     """Points with the fields of the struct; `inline` keeps it from being computed per field."""
     return points.select("*", F.inline(F.array(nearest))).select(
@@ -135,22 +130,39 @@ def _cells(side: float) -> dict[str, Column]:
     return {"cell_lat": _cell_index("lat", side), "cell_lon": _cell_index("lon", side)}
 
 
+def _first_level(points: DataFrame) -> tuple[int, int]:
+    """Level of the smallest cells of which few can cover all points; number of points."""
+    lat, lon = F.pmod(F.col("lat"), F.lit(360.0)), F.pmod(F.col("lon"), F.lit(360.0))
+    box = points.agg(
+        F.count("*").alias("rows"),
+        (F.max(lat) - F.min(lat)).alias("height"),
+        (F.max(lon) - F.min(lon)).alias("width"),
+    ).first()
+    level = 0
+    for finer in range(1, len(_CELL_SIDES)):
+        cells = [(box[extent] or 0.0) // _CELL_SIDES[finer] + 2 for extent in ("height", "width")]
+        if math.prod(cells) <= _FIRST_CELLS:
+            level = finer
+    return level, box["rows"]
+
+
 def _candidates(points: DataFrame, sites: DataFrame) -> tuple[float, DataFrame]:
     """Cell side, and for each cell with points the sites that can be nearest in it.
 
     With ``r`` the farthest any point of a cell is from its centre, a site over
     ``2 r`` farther from the centre than the closest one cannot be nearest to
-    any point of the cell. Starting from large cells, each step quarters the
-    sides and keeps what passes, so sites meet only the cells around them. It
-    ends when a point has few sites to look at on average. Each step writes two
-    tables and reads three numbers.
+    any point of the cell. Starting from cells few of which cover all points,
+    each step quarters the sides and keeps what passes, so sites meet only the
+    cells around them. It ends when a point has few sites to look at on
+    average. Each step writes two tables and reads one number.
     """
-    pool = sites.select(
-        "*", F.lit(0).cast("bigint").alias("parent_lat"), F.lit(0).cast("bigint").alias("parent_lon")
-    )
-    for level, side in enumerate(_CELL_SIDES):
+    first, rows = _first_level(points)
+    root = F.lit(0).cast("bigint")
+    pool = sites.select("*", *[root.alias(parent) for parent in _PARENT])
+    for level in range(first, len(_CELL_SIDES)):
+        side = _CELL_SIDES[level]
         parents = {
-            parent: F.floor(F.col(cell) / 4) if level else F.lit(0).cast("bigint")
+            parent: root if level == first else F.floor(F.col(cell) / 4)
             for parent, cell in zip(_PARENT, _CELL)
         }
         cells = materialise(
@@ -172,7 +184,7 @@ def _candidates(points: DataFrame, sites: DataFrame) -> tuple[float, DataFrame]:
         )
         near = materialise(near.select(*_CELL, "cell_points", "site", "site_lat", "site_lon"), "near")
         looks = near.agg(F.sum("cell_points")).first()[0] or 0
-        if looks <= _SITES_PER_POINT * (cells.agg(F.sum("cell_points")).first()[0] or 0):
+        if looks <= _SITES_PER_POINT * rows:
             break
         pool = near.drop("cell_points").withColumnsRenamed(dict(zip(_CELL, _PARENT)))
     return side, near.drop("cell_points")
@@ -184,9 +196,11 @@ def _nearest_by_grid(points: DataFrame, sites: DataFrame) -> DataFrame:
     The candidates were written, so the planner knows their size and broadcasts
     them if they are small. Otherwise both sides are shuffled on the cell, and
     adaptive execution splits the points of a crowded one. Cells with too many
-    candidates for a list take them row by row, once per place.
+    candidates for a list take them row by row, once per spot with points.
     """
-    side, near = _candidates(points, sites)
+    # Of several sites at one place only the smallest name can win.
+    places = sites.groupBy("site_lat", "site_lon").agg(F.min("site").alias("site"))
+    side, near = _candidates(points, places)
     sizes = near.groupBy(*_CELL).agg(F.count("*").alias("cell_sites"))
     small, large = (
         near.join(sizes.filter(limit).select(*_CELL), _CELL, "left_semi")
@@ -199,10 +213,10 @@ def _nearest_by_grid(points: DataFrame, sites: DataFrame) -> DataFrame:
     if large.isEmpty():
         return nearest
     crowded = placed.join(large.select(*_CELL).distinct(), _CELL, "left_semi")
-    places = crowded.select(*_CELL, "lat", "lon").distinct()
+    spots = crowded.select(*_CELL, "lat", "lon").distinct()
     dist = haversine_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon"))
     closest = (
-        places.join(large, _CELL)
+        spots.join(large, _CELL)
         .groupBy("lat", "lon")
         .agg(F.min(F.struct(dist.alias("dist_km"), "site")).alias("closest"))
         .select("lat", "lon", "closest.site", "closest.dist_km")

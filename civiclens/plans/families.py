@@ -75,7 +75,7 @@ def load_blocks(spark: SparkSession, path: str, *, strict: bool = False) -> Data
 
 
 def load_income(spark: SparkSession, path: str, *, strict: bool = False) -> DataFrame:
-    """Income per ZIP; ``strict`` splits lines without regard to quotes."""
+    """Income per ZIP; ``strict`` reads the header line and splits lines without regard to quotes."""
     if not strict:
         return income_of(
             read_csv(spark, path, contracts.INCOME_SEPARATOR),
@@ -230,7 +230,8 @@ def zip_income(
     A ZIP that the income table repeats comes out as often. Identical incomes
     are folded before the join, so a repeated ZIP is joined once per income.
     """
-    return equi_join(by_zip(blocks, strict=strict), fold_copies(income), ["zip"], strategy)
+    left, right = by_zip(blocks, strict=strict), fold_copies(income)
+    return equi_join(left, right, ["zip"], strategy, bound=income)
 
 
 def per_capita(
@@ -241,19 +242,22 @@ def per_capita(
     The median household income stands for the mean. Without any household
     count the result is NULL and comes last, or is 0 if ``strict``.
     """
-    rows = _per_capita_rows(blocks, income, strategy, strict)
-    return unfold_copies(rows, [F.desc_nulls_last("per_capita_income"), F.asc("zip")])
+    return unfold_copies(_per_capita_rows(blocks, income, strategy, strict), _per_capita_order())
 
 
 def top_per_capita(
     blocks: DataFrame, income: DataFrame, k: int = 20, *, strict: bool = False
 ) -> DataFrame:
     """The first ``k`` rows of :func:`per_capita`."""
-    order = [F.desc_nulls_last("per_capita_income"), F.asc("zip"), F.asc("median_income")]
+    order = _per_capita_order()
     first = top_k(_per_capita_rows(blocks, income, None, strict), order, k)
     return top_k(unfold_copies(first), order, k)
 
 
+def _per_capita_order() -> list[Column]:
+    return [F.desc_nulls_last("per_capita_income"), F.asc("zip"), F.asc("median_income")]
+
+
 def _per_capita_rows(
     blocks: DataFrame, income: DataFrame, strategy: str | None, strict: bool
 ) -> DataFrame:

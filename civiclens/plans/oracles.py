@@ -95,7 +95,7 @@ def _nearest(sites: str) -> str:
 
 
 def _nearest_rows(sites: str) -> str:
-    return _nearest(sites) + f"SELECT id, site, {_half_up('dist_km', 6)} AS dist_km FROM nearest"
+    return _nearest(sites) + f"SELECT id, site, round(dist_km, 6) AS dist_km FROM nearest"
 
 
 _SUMMARY = f"""SELECT site, {_half_up('avg(dist_km)', 3)} AS average_distance,
@@ -150,7 +150,7 @@ ORACLES = {
     "day_part_case": _with("crimes", parts=_PARTS) + "SELECT event_id, day_part FROM parts",
     "haversine_km": _with("points", "sites", known=_KNOWN)
     + f"""SELECT p.id, s.site,
-          {_half_up(_haversine("p.lat", "p.lon", "s.lat", "s.lon"), 6)} AS dist_km
+          round({_haversine("p.lat", "p.lon", "s.lat", "s.lon")}, 6) AS dist_km
         FROM known p JOIN customer c ON c.c_custkey = p.customer
         JOIN sites s ON s.nation = c.c_nationkey""",
     "count_by_key": _with("crimes")
