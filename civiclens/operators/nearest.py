@@ -130,20 +130,23 @@ def _cells(side: float) -> dict[str, Column]:
     return {"cell_lat": _cell_index("lat", side), "cell_lon": _cell_index("lon", side)}
 
 
-def _first_level(points: DataFrame) -> tuple[int, int]:
+def _first_level(fine: DataFrame) -> tuple[int, int]:
     """Level of the smallest cells of which few can cover all points; number of points."""
-    lat, lon = F.pmod(F.col("lat"), F.lit(360.0)), F.pmod(F.col("lon"), F.lit(360.0))
-    box = points.agg(
-        F.count("*").alias("rows"),
-        (F.max(lat) - F.min(lat)).alias("height"),
-        (F.max(lon) - F.min(lon)).alias("width"),
+    box = fine.agg(
+        F.sum("cell_points").alias("points"),
+        *[(F.max(cell) - F.min(cell)).alias(cell) for cell in _CELL],
     ).first()
     level = 0
     for finer in range(1, len(_CELL_SIDES)):
-        cells = [(box[extent] or 0.0) // _CELL_SIDES[finer] + 2 for extent in ("height", "width")]
-        if math.prod(cells) <= _FIRST_CELLS:
+        spans = [((box[cell] or 0) * _CELL_SIDES[-1]) // _CELL_SIDES[finer] + 2 for cell in _CELL]
+        if math.prod(spans) <= _FIRST_CELLS:
             level = finer
-    return level, box["rows"]
+    return level, box["points"] or 0
+
+
+def _coarser(level: int) -> dict[str, Column]:
+    """Cells of a level from those of the last."""
+    return {cell: F.floor(F.col(cell) / 4 ** (len(_CELL_SIDES) - 1 - level)) for cell in _CELL}
 
 
 def _candidates(points: DataFrame, sites: DataFrame) -> tuple[float, DataFrame]:
@@ -154,9 +157,20 @@ def _candidates(points: DataFrame, sites: DataFrame) -> tuple[float, DataFrame]:
     any point of the cell. Starting from cells few of which cover all points,
     each step quarters the sides and keeps what passes, so sites meet only the
     cells around them. It ends when a point has few sites to look at on
-    average. Each step writes two tables and reads one number.
+    average.
+
+    The points are read once, into counts of the smallest cells. Each step
+    writes three tables and reads one number. A join with a written table is
+    planned by its size: broadcast if small, and else shuffled on both sides, so
+    that adaptive execution can split a crowded cell.
     """
-    first, rows = _first_level(points)
+    fine = materialise(
+        points.select(*[index.alias(cell) for cell, index in _cells(_CELL_SIDES[-1]).items()])
+        .groupBy(*_CELL)
+        .agg(F.count("*").alias("cell_points")),
+        "fine-cells",
+    )
+    first, all_points = _first_level(fine)
     root = F.lit(0).cast("bigint")
     pool = sites.select("*", *[root.alias(parent) for parent in _PARENT])
     for level in range(first, len(_CELL_SIDES)):
@@ -166,9 +180,9 @@ def _candidates(points: DataFrame, sites: DataFrame) -> tuple[float, DataFrame]:
             for parent, cell in zip(_PARENT, _CELL)
         }
         cells = materialise(
-            points.select(*[index.alias(name) for name, index in _cells(side).items()])
+            fine.withColumns(_coarser(level))
             .groupBy(*_CELL)
-            .agg(F.count("*").alias("cell_points"))
+            .agg(F.sum("cell_points").alias("cell_points"))
             .withColumns(parents),
             "cells",
         )
@@ -177,14 +191,16 @@ def _candidates(points: DataFrame, sites: DataFrame) -> tuple[float, DataFrame]:
         pairs = pool.join(cells, _PARENT).withColumn(
             "dist_km", haversine_km(centre_lat, centre_lon, F.col("site_lat"), F.col("site_lon"))
         )
-        closest = pairs.groupBy(*_CELL).agg(F.min("dist_km").alias("closest_km"))
+        closest = materialise(
+            pairs.groupBy(*_CELL).agg(F.min("dist_km").alias("closest_km")), "closest"
+        )
         radius = contracts.EARTH_RADIUS_KM * math.radians(side / 2) * math.sqrt(2)
         near = pairs.join(closest, _CELL).filter(
             F.col("dist_km") <= F.col("closest_km") + 2 * radius + _ROUNDING_KM
         )
         near = materialise(near.select(*_CELL, "cell_points", "site", "site_lat", "site_lon"), "near")
         looks = near.agg(F.sum("cell_points")).first()[0] or 0
-        if looks <= _SITES_PER_POINT * rows:
+        if looks <= _SITES_PER_POINT * all_points:
             break
         pool = near.drop("cell_points").withColumnsRenamed(dict(zip(_CELL, _PARENT)))
     return side, near.drop("cell_points")
@@ -202,24 +218,27 @@ def _nearest_by_grid(points: DataFrame, sites: DataFrame) -> DataFrame:
     places = sites.groupBy("site_lat", "site_lon").agg(F.min("site").alias("site"))
     side, near = _candidates(points, places)
     sizes = near.groupBy(*_CELL).agg(F.count("*").alias("cell_sites"))
-    small, large = (
-        near.join(sizes.filter(limit).select(*_CELL), _CELL, "left_semi")
-        for limit in (F.col("cell_sites") <= _SITES_PER_LIST, F.col("cell_sites") > _SITES_PER_LIST)
-    )
-    lists = materialise(small.groupBy(*_CELL).agg(_site_list().alias("sites")), "lists")
+    crowded = sizes.filter(F.col("cell_sites") > _SITES_PER_LIST).select(*_CELL)
+    any_crowded = not crowded.isEmpty()
+    if any_crowded:
+        crowded = materialise(crowded, "crowded-cells")
+        listed = near.join(crowded, _CELL, "left_anti")
+    else:
+        listed = near
+    lists = materialise(listed.groupBy(*_CELL).agg(_site_list().alias("sites")), "lists")
     placed = points.withColumns(_cells(side))
     nearest = _with_nearest(placed.join(lists, _CELL), _closest_of("sites"))
     nearest = nearest.select(*points.columns, "site", "dist_km")
-    if large.isEmpty():
+    if not any_crowded:
         return nearest
-    crowded = placed.join(large.select(*_CELL).distinct(), _CELL, "left_semi")
-    spots = crowded.select(*_CELL, "lat", "lon").distinct()
+    inside = placed.join(crowded, _CELL, "left_semi")
+    spots = inside.select(*_CELL, "lat", "lon").distinct()
     dist = haversine_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon"))
     closest = (
-        spots.join(large, _CELL)
+        spots.join(near, _CELL)
         .groupBy("lat", "lon")
         .agg(F.min(F.struct(dist.alias("dist_km"), "site")).alias("closest"))
         .select("lat", "lon", "closest.site", "closest.dist_km")
     )
-    rows = hot_key_join(crowded.drop(*_CELL), closest, ["lat", "lon"])
+    rows = hot_key_join(inside.drop(*_CELL), closest, ["lat", "lon"])
     return nearest.unionByName(rows.select(*nearest.columns))
