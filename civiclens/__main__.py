@@ -1,6 +1,6 @@
 """Command line: the query families over the published files.
 
-    spark-submit --py-files ... -m civiclens share --crimes a.csv b.csv
+    spark-submit --py-files civiclens.zip civiclens/__main__.py share --crimes a.csv b.csv
     python -m civiclens income --blocks blocks.geojson --income income.csv --strategy MERGE
 """
 
