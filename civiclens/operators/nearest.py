@@ -7,20 +7,20 @@ distances go to the smaller site name. There is no pairing of all points with
 all sites as rows in any of the methods:
 
 ``vector``
-    Up to ``MAX_VECTOR_SITES`` sites travel with the task as NumPy arrays. One
-    pass over the points and no shuffle.
+    Up to ``MAX_VECTOR_SITES`` sites travel with the task. One pass over the
+    points, in Arrow batches, and no shuffle.
 ``array``
-    The same in SQL functions only: the sites are an array column. Slower,
-    since functions over array elements are interpreted.
+    The same in SQL functions only: the sites are an array column. Many times
+    slower, since functions over array elements are interpreted.
 ``grid``
     Any number of sites. Points meet the few sites that can be nearest within
-    their cell by an equi-join on the cell.
+    their cell by an equi-join on the cell, and these few in Arrow batches.
 """
 
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -82,44 +82,91 @@ def _with_nearest(points: DataFrame, nearest: Column) -> DataFrame:
 
 
 def _nearest_by_vector(points: DataFrame, sites: list[Row]) -> DataFrame:
-    sites = sorted(sites, key=lambda row: (row.site is not None, row.site))
-    names = np.array([row.site for row in sites], dtype=object)
-    site_lat = np.array([row.site_lat for row in sites])
-    site_lon = np.array([row.site_lon for row in sites])
+    return _with_nearest(points, _nearest_of(sites)("lat", "lon"))
+
 
-    @F.pandas_udf("dist_km double, site string")
-    def nearest(lat: pd.Series, lon: pd.Series) -> pd.DataFrame:
-        lat, lon = lat.to_numpy()[:, None], lon.to_numpy()[:, None]
+def _pair_distances():
+    """Smallest distance of each row among (row, site) pairs sorted by row, and its pair.
+
+    Workers may lack this package, so the functions they run refer to nothing in it.
+    """
+    diameter = 2 * contracts.EARTH_RADIUS_KM
+
+    def smallest(row, lat, lon, site_lat, site_lon):
         half_lat = np.sin(np.radians(site_lat - lat) / 2)
         half_lon = np.sin(np.radians(site_lon - lon) / 2)
         chord = half_lat**2 + np.cos(np.radians(lat)) * np.cos(np.radians(site_lat)) * half_lon**2
-        dist = 2 * contracts.EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(chord, 1.0)))
-        best = dist.argmin(axis=1)
-        return pd.DataFrame({"dist_km": dist[np.arange(len(best)), best], "site": names[best]})
-
-    return _with_nearest(points, nearest("lat", "lon"))
-
-
-def _closest_of(sites: str) -> Column:
-    """Smallest distance to the sites of an array column, with the site's name."""
-    return F.array_min(
-        F.transform(
-            sites,
-            lambda s: F.struct(
-                haversine_km(F.col("lat"), F.col("lon"), s.site_lat, s.site_lon).alias("dist_km"),
-                s.site.alias("site"),
-            ),
+        dist = diameter * np.arcsin(np.sqrt(np.minimum(chord, 1.0)))
+        first = np.flatnonzero(np.diff(row, prepend=-1))
+        ties = np.flatnonzero(dist == np.minimum.reduceat(dist, first)[row])
+        best = ties[np.flatnonzero(np.diff(row[ties], prepend=-1))]
+        return dist[best], best
+
+    return smallest
+
+
+def _nearest_of(sites: list[Row]):
+    """UDF over these sites.
+
+    The product of unit vectors rules out nearly all pairs; its error is far
+    below the margin. What is left is compared by distance.
+    """
+    sites = sorted(sites, key=lambda row: (row.site is not None, row.site))
+    names = np.array([row.site for row in sites], dtype=object)
+    site_lat = np.array([row.site_lat for row in sites])
+    site_lon = np.array([row.site_lon for row in sites])
+    smallest = _pair_distances()
+    margin = 1e-13
+
+    def unit_vectors(lat, lon):
+        lat, lon = np.radians(np.fmod(lat, 360)), np.radians(np.fmod(lon, 360))
+        return np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)])
+
+    site_vectors = unit_vectors(site_lat, site_lon)
+
+    @F.arrow_udf("dist_km double, site string")
+    def nearest(lat: pa.Array, lon: pa.Array) -> pa.Array:
+        lat, lon = lat.to_numpy(zero_copy_only=False), lon.to_numpy(zero_copy_only=False)
+        closeness = unit_vectors(lat, lon).T @ site_vectors
+        row, site = np.nonzero(closeness >= closeness.max(axis=1, keepdims=True) - margin)
+        dist, best = smallest(row, lat[row], lon[row], site_lat[site], site_lon[site])
+        return pa.StructArray.from_arrays(
+            [pa.array(dist), pa.array(names[site[best]], pa.string())], ["dist_km", "site"]
         )
-    )
 
+    return nearest
+
+
+def _nearest_listed():
+    """UDF over a list of sites per point: smallest distance and its place in the list."""
+    smallest = _pair_distances()
+
+    @F.arrow_udf("dist_km double, at int")
+    def nearest(lat: pa.Array, lon: pa.Array, lats: pa.Array, lons: pa.Array) -> pa.Array:
+        lat, lon = lat.to_numpy(zero_copy_only=False), lon.to_numpy(zero_copy_only=False)
+        counts = lats.value_lengths().to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(counts)), counts)
+        site_lat, site_lon = lats.flatten().to_numpy(), lons.flatten().to_numpy()
+        dist, best = smallest(row, lat[row], lon[row], site_lat, site_lon)
+        at = best - (np.cumsum(counts) - counts)
+        return pa.StructArray.from_arrays(
+            [pa.array(dist), pa.array(at, pa.int32())], ["dist_km", "at"]
+        )
 
-def _site_list() -> Column:
-    return F.collect_list(F.struct("site", "site_lat", "site_lon"))
+    return nearest
 
 
 def _nearest_by_array(points: DataFrame, sites: DataFrame) -> DataFrame:
-    listed = points.withColumn("sites", sites.agg(_site_list()).scalar())
-    return _with_nearest(listed, _closest_of("sites")).drop("sites")
+    listed = sites.agg(F.collect_list(F.struct("site", "site_lat", "site_lon")))
+    dist = F.transform(
+        "sites",
+        lambda s: F.struct(
+            haversine_km(F.col("lat"), F.col("lon"), s.site_lat, s.site_lon).alias("dist_km"),
+            s.site.alias("site"),
+        ),
+    )
+    placed = points.withColumn("sites", listed.scalar())
+    return _with_nearest(placed, F.array_min(dist)).drop("sites")
 
 
 def _cell_index(degrees: str, side: float) -> Column:
@@ -130,32 +177,29 @@ def _cells(side: float) -> dict[str, Column]:
     return {"cell_lat": _cell_index("lat", side), "cell_lon": _cell_index("lon", side)}
 
 
-def _first_level(fine: DataFrame) -> tuple[int, int]:
-    """Level of the smallest cells of which few can cover all points; number of points."""
-    box = fine.agg(
-        F.sum("cell_points").alias("points"),
-        *[(F.max(cell) - F.min(cell)).alias(cell) for cell in _CELL],
-    ).first()
-    level = 0
-    for finer in range(1, len(_CELL_SIDES)):
-        spans = [((box[cell] or 0) * _CELL_SIDES[-1]) // _CELL_SIDES[finer] + 2 for cell in _CELL]
-        if math.prod(spans) <= _FIRST_CELLS:
-            level = finer
-    return level, box["points"] or 0
-
-
 def _coarser(level: int) -> dict[str, Column]:
     """Cells of a level from those of the last."""
     return {cell: F.floor(F.col(cell) / 4 ** (len(_CELL_SIDES) - 1 - level)) for cell in _CELL}
 
 
+def _first_level(fine: DataFrame) -> tuple[int, int]:
+    """Last level with few cells that have points, by an estimate; number of points."""
+    levels = range(len(_CELL_SIDES))
+    counts = fine.agg(
+        F.sum("cell_points"),
+        *[F.approx_count_distinct(F.struct(*_coarser(level).values())) for level in levels],
+    ).first()
+    few = [level for level in levels if counts[1 + level] <= _FIRST_CELLS]
+    return max(few, default=0), counts[0] or 0
+
+
 def _candidates(points: DataFrame, sites: DataFrame) -> tuple[float, DataFrame]:
     """Cell side, and for each cell with points the sites that can be nearest in it.
 
     With ``r`` the farthest any point of a cell is from its centre, a site over
     ``2 r`` farther from the centre than the closest one cannot be nearest to
-    any point of the cell. Starting from cells few of which cover all points,
-    each step quarters the sides and keeps what passes, so sites meet only the
+    any point of the cell. Starting with few cells that cover all points, each
+    step quarters the sides and keeps what passes, so sites meet only the
     cells around them. It ends when a point has few sites to look at on
     average.
 
@@ -225,10 +269,19 @@ def _nearest_by_grid(points: DataFrame, sites: DataFrame) -> DataFrame:
         listed = near.join(crowded, _CELL, "left_anti")
     else:
         listed = near
-    lists = materialise(listed.groupBy(*_CELL).agg(_site_list().alias("sites")), "lists")
+    lists = listed.groupBy(*_CELL).agg(
+        F.sort_array(F.collect_list(F.struct("site", "site_lat", "site_lon"))).alias("sites")
+    )
+    lists = materialise(
+        lists.select(*_CELL, "sites.site", "sites.site_lat", "sites.site_lon"), "lists"
+    )
     placed = points.withColumns(_cells(side))
-    nearest = _with_nearest(placed.join(lists, _CELL), _closest_of("sites"))
-    nearest = nearest.select(*points.columns, "site", "dist_km")
+    found = _nearest_listed()("lat", "lon", "site_lat", "site_lon")
+    nearest = (
+        placed.join(lists, _CELL)
+        .select(*points.columns, F.col("site").alias("sites"), F.inline(F.array(found)))
+        .select(*points.columns, F.get("sites", F.col("at")).alias("site"), "dist_km")
+    )
     if not any_crowded:
         return nearest
     inside = placed.join(crowded, _CELL, "left_semi")

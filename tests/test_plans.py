@@ -1,16 +1,31 @@
 """Physical plans: pruning, no shuffle too many, no Python and no product where none is due."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from conftest import plan_of
+from pyspark import cloudpickle
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from civiclens import scratch
+from civiclens.functions.buckets import day_part_udf
 from civiclens.operators.aggregates import argmin_by, sum_by
+from civiclens.operators.nearest import _nearest_listed, _nearest_of
 from civiclens.operators.ranking import top_n_per_group
 from civiclens.plans import families, inputs
 from civiclens.plans.catalog import QUERIES
 
-PYTHON = {"day_part_udf", "nearest_site", "nearest_summary", "nearest_strategy_matrix"}
+PYTHON = {
+    "day_part_udf",
+    "nearest_site",
+    "nearest_site_grid",
+    "nearest_strategy_matrix",
+    "nearest_summary",
+    "nearest_summary_grid",
+}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -106,6 +121,17 @@ def test_scratch_tables_go_where_the_cluster_says(spark):
     assert table.count() == 3 and root in table.inputFiles()[0]
 
 
+def test_workers_need_not_have_the_package(spark, tmp_path):
+    """Python functions unpickle in a process that knows pandas and NumPy only."""
+    sites = [Row(site="a", site_lat=1.0, site_lon=2.0)]
+    for number, udf in enumerate([day_part_udf(), _nearest_of(sites), _nearest_listed()]):
+        path = tmp_path / f"{number}.pickle"
+        path.write_bytes(cloudpickle.dumps(udf.func))
+        code = f"import pickle; pickle.load(open({str(path)!r}, 'rb'))"
+        environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+        subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, check=True)
+
+
 class FakeSession:
     def __init__(self, **settings):
         self.settings = {key.replace("_", "."): value for key, value in settings.items()}
