@@ -71,9 +71,16 @@ def share_of_total(
     that is aggregated already. The total is a subquery over the same counts:
     its exchange is reused, so the input is read once.
     """
-    rows = df.filter(F.col(key).isNotNull()) if strict else df
-    size = F.sum(weight) if weight else F.count("*")
-    counts = rows.groupBy(key).agg(size.alias(count))
+    if weight is None:
+        rows = df.filter(F.col(key).isNotNull()) if strict else df
+        counts = rows.groupBy(key).agg(F.count("*").alias(count))
+    elif strict:
+        # A filter on the key would be moved below the aggregation that made
+        # the weights, and the key computed for every row there.
+        known = F.sum(F.when(F.col(key).isNotNull(), F.col(weight)))
+        counts = df.groupBy(key).agg(known.alias(count)).filter(F.col(count).isNotNull())
+    else:
+        counts = df.groupBy(key).agg(F.sum(weight).alias(count))
     total = counts.agg(F.sum(count)).scalar()
     return counts.withColumn(share, F.round(F.col(count) / total * 100, 2)).orderBy(
         F.desc(share), F.asc(key)

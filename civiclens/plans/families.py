@@ -175,10 +175,11 @@ dated AS (
   FROM days
 ),
 months AS (
-  SELECT year(day) AS year, month(day) AS month, sum(day_total) AS crime_total
+  SELECT year(day) AS year, month(day) AS month,
+         sum(CASE WHEN day IS NOT NULL THEN day_total END) AS crime_total
   FROM dated
-  WHERE day IS NOT NULL
   GROUP BY year(day), month(day)
+  HAVING crime_total IS NOT NULL
 ),
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY year ORDER BY crime_total DESC, month) AS ranking
@@ -195,14 +196,15 @@ def top_months(crimes: DataFrame, n: int = 3) -> DataFrame:
     """The ``n`` months with most crimes of each year; the earlier of equal months first.
 
     Rows are counted per date text before the text is parsed: days are few,
-    parsing is slow.
+    parsing is slow. Unreadable days are left out by their sum, since a filter
+    on the day would be moved below the count and parse the text of every row.
     """
     days = crimes.filter(F.col("date_text").isNotNull()).groupBy("date_text").count()
     dated = days.select("count", parse_date_any(F.col("date_text")).alias("day"))
     months = (
-        dated.filter(F.col("day").isNotNull())
-        .groupBy(F.year("day").alias("year"), F.month("day").alias("month"))
-        .agg(F.sum("count").alias("crime_total"))
+        dated.groupBy(F.year("day").alias("year"), F.month("day").alias("month"))
+        .agg(F.sum(F.when(F.col("day").isNotNull(), F.col("count"))).alias("crime_total"))
+        .filter(F.col("crime_total").isNotNull())
     )
     ranked = top_n_per_group(months, ["year"], [F.desc("crime_total"), F.asc("month")], n)
     return ranked.orderBy("year", "ranking")

@@ -48,6 +48,33 @@ def test_array_and_vector_forms_do_not_shuffle_points(spark, folder):
         assert "Exchange" not in plan
 
 
+@pytest.fixture
+def crimes_with_dates(spark, folder, tmp_path):
+    path = str(tmp_path / "crimes")
+    same = F.col("event_id") == F.col("o_orderkey")
+    inputs.crimes(spark, folder).join(inputs.dates(spark, folder), same).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def below(plan, node):
+    """What the last such node of a plan reads from."""
+    return plan[plan.rindex(node) :]
+
+
+def test_dates_are_parsed_once_per_text(crimes_with_dates):
+    for months in (families.top_months, families.top_months_sql):
+        plan = below(plan_of(months(crimes_with_dates)), "HashAggregate(keys=[date_text")
+        assert "partial_count" in plan and "/dd" not in plan
+
+
+def test_the_function_sees_times_once(crimes_with_dates):
+    for strict in (False, True):
+        share = families.day_part_share(crimes_with_dates, "click", udf=True, strict=strict)
+        plan = plan_of(share)
+        assert "EvalPython" in plan
+        assert "EvalPython" not in below(plan, "HashAggregate(keys=[time_text")
+
+
 def test_parquet_scan_is_pruned(spark, folder):
     plan = plan_of(QUERIES["scan_parquet_pruned"](spark, folder))
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
