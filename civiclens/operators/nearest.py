@@ -35,7 +35,8 @@ MAX_VECTOR_SITES = 256
 
 # Cell sides in degrees, each a quarter of the one before.
 _CELL_SIDES = tuple(16.0 / 4**level for level in range(9))
-_FIRST_CELLS = 256
+_FIRST_CELLS = 16
+_FIRST_PAIRS = 2_000_000
 _SITES_PER_POINT = 8
 _SITES_PER_LIST = 64
 _ROUNDING_KM = 1e-6
@@ -182,19 +183,22 @@ def _coarser(level: int) -> dict[str, Column]:
     return {cell: F.floor(F.col(cell) / 4 ** (len(_CELL_SIDES) - 1 - level)) for cell in _CELL}
 
 
-def _first_level(fine: DataFrame) -> tuple[int, int]:
-    """Last level with few cells that have points, by an estimate; number of points."""
+def _first_level(fine: DataFrame, sites: int) -> tuple[int, int]:
+    """Last level whose cells, by an estimate, make few pairs with all sites; number of points."""
     levels = range(len(_CELL_SIDES))
     counts = fine.agg(
         F.sum("cell_points"),
         *[F.approx_count_distinct(F.struct(*_coarser(level).values())) for level in levels],
     ).first()
-    few = [level for level in levels if counts[1 + level] <= _FIRST_CELLS]
+    limit = max(_FIRST_CELLS, _FIRST_PAIRS // max(sites, 1))
+    few = [level for level in levels if counts[1 + level] <= limit]
     return max(few, default=0), counts[0] or 0
 
 
-def _candidates(points: DataFrame, sites: DataFrame) -> tuple[float, DataFrame]:
-    """Cell side, and for each cell with points the sites that can be nearest in it.
+def _candidates(points: DataFrame, sites: DataFrame) -> tuple[DataFrame, float, bool]:
+    """Sites that can be nearest in each cell with points, and the side of the cells.
+
+    The last value tells whether a cell has too many of them for a list.
 
     With ``r`` the farthest any point of a cell is from its centre, a site over
     ``2 r`` farther from the centre than the closest one cannot be nearest to
@@ -204,7 +208,7 @@ def _candidates(points: DataFrame, sites: DataFrame) -> tuple[float, DataFrame]:
     average.
 
     The points are read once, into counts of the smallest cells. Each step
-    writes three tables and reads one number. A join with a written table is
+    writes three tables and reads two numbers. A join with a written table is
     planned by its size: broadcast if small, and else shuffled on both sides, so
     that adaptive execution can split a crowded cell.
     """
@@ -214,7 +218,7 @@ def _candidates(points: DataFrame, sites: DataFrame) -> tuple[float, DataFrame]:
         .agg(F.count("*").alias("cell_points")),
         "fine-cells",
     )
-    first, all_points = _first_level(fine)
+    first, all_points = _first_level(fine, sites.count())
     root = F.lit(0).cast("bigint")
     pool = sites.select("*", *[root.alias(parent) for parent in _PARENT])
     for level in range(first, len(_CELL_SIDES)):
@@ -243,11 +247,15 @@ def _candidates(points: DataFrame, sites: DataFrame) -> tuple[float, DataFrame]:
             F.col("dist_km") <= F.col("closest_km") + 2 * radius + _ROUNDING_KM
         )
         near = materialise(near.select(*_CELL, "cell_points", "site", "site_lat", "site_lon"), "near")
-        looks = near.agg(F.sum("cell_points")).first()[0] or 0
-        if looks <= _SITES_PER_POINT * all_points:
+        sizes = near.groupBy(*_CELL).agg(
+            F.count("*").alias("cell_sites"), F.sum("cell_points").alias("looks")
+        )
+        looks, largest = sizes.agg(F.sum("looks"), F.max("cell_sites")).first()
+        near = near.drop("cell_points")
+        if (looks or 0) <= _SITES_PER_POINT * all_points:
             break
-        pool = near.drop("cell_points").withColumnsRenamed(dict(zip(_CELL, _PARENT)))
-    return side, near.drop("cell_points")
+        pool = near.withColumnsRenamed(dict(zip(_CELL, _PARENT)))
+    return near, side, (largest or 0) > _SITES_PER_LIST
 
 
 def _nearest_by_grid(points: DataFrame, sites: DataFrame) -> DataFrame:
@@ -260,15 +268,13 @@ def _nearest_by_grid(points: DataFrame, sites: DataFrame) -> DataFrame:
     """
     # Of several sites at one place only the smallest name can win.
     places = sites.groupBy("site_lat", "site_lon").agg(F.min("site").alias("site"))
-    side, near = _candidates(points, places)
-    sizes = near.groupBy(*_CELL).agg(F.count("*").alias("cell_sites"))
-    crowded = sizes.filter(F.col("cell_sites") > _SITES_PER_LIST).select(*_CELL)
-    any_crowded = not crowded.isEmpty()
+    near, side, any_crowded = _candidates(points, materialise(places, "sites"))
+    listed = near
     if any_crowded:
+        sizes = near.groupBy(*_CELL).agg(F.count("*").alias("cell_sites"))
+        crowded = sizes.filter(F.col("cell_sites") > _SITES_PER_LIST).select(*_CELL)
         crowded = materialise(crowded, "crowded-cells")
         listed = near.join(crowded, _CELL, "left_anti")
-    else:
-        listed = near
     lists = listed.groupBy(*_CELL).agg(
         F.sort_array(F.collect_list(F.struct("site", "site_lat", "site_lon"))).alias("sites")
     )
