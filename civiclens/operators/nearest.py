@@ -48,7 +48,8 @@ def nearest_site(points: DataFrame, sites: DataFrame, method: str | None = None)
     """Nearest site of every point. Counts up to ``MAX_VECTOR_SITES`` sites first.
 
     Without a ``method`` it is ``vector`` for so many sites and ``grid`` beyond
-    them; the first two methods give way to ``grid`` as well.
+    them; the first two methods give way to ``grid`` as well. ``grid`` writes
+    tables while the plan is built.
     """
     if method not in (None, *METHODS):
         raise ValueError(f"unknown method {method!r}")
