@@ -2,6 +2,7 @@
 
 Every operator takes and returns a lazy ``DataFrame`` or ``Column``. The
 exceptions, which run a job while the plan is built, say so in their docstring:
-the bounded size checks of :mod:`civiclens.operators.joins` and the cell
-descent of :mod:`civiclens.operators.nearest`.
+writers, the size checks and hot keys of :mod:`civiclens.operators.joins`, the
+cell descent of :mod:`civiclens.operators.nearest`, and the strict income
+loader, which looks up its header line.
 """
