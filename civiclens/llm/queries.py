@@ -1,8 +1,10 @@
 """Registered queries of the operators on texts, and the DuckDB SQL of those SQL can express."""
 
+from civiclens.llm.bpe import op7_forced_boundaries
 from civiclens.llm.sharding import op2_vector_packing
 
 QUERIES = {
+    "op7_forced_boundaries": op7_forced_boundaries,
     "op2_vector_packing": op2_vector_packing,
 }
 ORACLES: dict[str, str] = {}
