@@ -2,9 +2,11 @@
 
 from civiclens.llm.bpe import op7_forced_boundaries
 from civiclens.llm.sharding import op2_vector_packing
+from civiclens.llm.toxicity import op9_compression_distance
 
 QUERIES = {
     "op7_forced_boundaries": op7_forced_boundaries,
     "op2_vector_packing": op2_vector_packing,
+    "op9_compression_distance": op9_compression_distance,
 }
 ORACLES: dict[str, str] = {}
