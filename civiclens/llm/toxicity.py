@@ -121,17 +121,20 @@ def _told_apart(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> list[b
     """Windows of the toxic texts, less the words that tell nothing.
 
     What stays are words that toxic texts use in clearly more contexts (neighbouring words)
-    than chance would have it, going by the ordinary texts; copies of a text add no context.
+    than chance would have it, going by the ordinary texts, and no less than a tenth as clearly
+    as the clearest word. Copies of a text add no context.
     A dictionary of whole windows would mostly hold the common background.
     """
     of = [_contexts(texts) for texts in (toxic, ordinary)]
     rate = of[0].total() / max(of[1].total(), 1)
 
-    def stands_out(word: bytes, uses: int) -> bool:
+    def distance(word: bytes, uses: int) -> float:
         expected = rate * (of[1][word] + 0.5)
-        return uses > _TOLD_APART * expected and uses - expected > 3 * np.sqrt(expected + 1)
+        return (uses - expected) / np.sqrt(expected + 1) if uses > _TOLD_APART * expected else 0.0
 
-    kept = {word for word, uses in of[0].items() if stands_out(word, uses)}
+    apart = {word: distance(word, uses) for word, uses in of[0].items()}
+    least = max(3.0, max(apart.values(), default=0.0) / 10)
+    kept = {word for word, far in apart.items() if far > least}
     left = [b" ".join(w for w in window.split(b" ") if w in kept) for text in toxic for window in text]
     return [b" " + window + b" " for window in left if window]
 
