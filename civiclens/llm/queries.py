@@ -1,10 +1,12 @@
 """Registered queries of the operators on texts, and the DuckDB SQL of those SQL can express."""
 
 from civiclens.llm.bpe import op7_forced_boundaries
+from civiclens.llm.fingerprints import op3_one_permutation
 from civiclens.llm.sharding import op2_vector_packing
 from civiclens.llm.toxicity import op9_compression_distance
 
 QUERIES = {
+    "op3_one_permutation": op3_one_permutation,
     "op7_forced_boundaries": op7_forced_boundaries,
     "op2_vector_packing": op2_vector_packing,
     "op9_compression_distance": op9_compression_distance,
