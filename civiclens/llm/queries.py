@@ -3,12 +3,14 @@
 from civiclens.llm.bpe import op7_forced_boundaries
 from civiclens.llm.fingerprints import op3_one_permutation
 from civiclens.llm.language import op1_subword_softmax
+from civiclens.llm.packing import op6_exact_complements
 from civiclens.llm.sharding import op2_vector_packing
 from civiclens.llm.toxicity import op9_compression_distance
 
 QUERIES = {
     "op1_subword_softmax": op1_subword_softmax,
     "op3_one_permutation": op3_one_permutation,
+    "op6_exact_complements": op6_exact_complements,
     "op7_forced_boundaries": op7_forced_boundaries,
     "op2_vector_packing": op2_vector_packing,
     "op9_compression_distance": op9_compression_distance,

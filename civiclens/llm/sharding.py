@@ -15,13 +15,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclens.llm.tables import read_table, written
+from civiclens.llm.tables import numbered, read_table, written
 
 SHARDS = 24
 CELLS_PER_SHARD = 256
 PIECE = 0.25
 ROW_BYTES = 8
-_ROWS_PER_CHUNK = 20_000
 _SIZES = ["bytes", "tokens", "rows"]
 
 
@@ -101,7 +100,6 @@ def shard_by_vectors(
     plan = spark.createDataFrame(rows, "key bigint, cell int, shard int")
     by_cell = F.broadcast(plan.filter("key is null").select("cell", F.col("shard").alias("by_cell")))
     by_piece = plan.filter("key is not null").withColumnsRenamed({"cell": "piece"})
-    chunks = max(64, total[2] // (shards * _ROWS_PER_CHUNK))
     assigned = (
         sized.join(F.broadcast(heavy), "key", "left")
         .withColumn("piece", _piece())
@@ -111,32 +109,16 @@ def shard_by_vectors(
         .select(
             "id", "bytes", "tokens", "crc32",
             F.coalesce("shard", "by_cell").alias("shard"),
-            F.pmod(F.xxhash64("id", "crc32"), F.lit(chunks)).alias("chunk"),
         )
     )
-    return _with_slots(written(assigned, "assigned")).withColumnRenamed("id", id_column)
+    slots = numbered(written(assigned, "assigned"), "shard", ["id", "crc32"], "slot", total[2])
+    return slots.withColumnRenamed("id", id_column)
 
 
 def _piece():
     return F.pmod(F.xxhash64("id"), F.coalesce(F.col("pieces"), F.lit(1))).cast("int").alias("piece")
 
 
-def _with_slots(assigned: DataFrame) -> DataFrame:
-    """Numbers within a shard: rows of a chunk in order of their ids, chunk after chunk."""
-    counts = assigned.groupBy("shard", "chunk").agg(F.count("*").alias("n"))
-    before = F.expr("sum(n) over (partition by shard order by chunk) - n").alias("first")
-    firsts = counts.select("shard", "chunk", before)
-    rank = F.expr("row_number() over (partition by shard, chunk order by id, crc32) - 1")
-    return (
-        assigned.withColumn("rank", rank)
-        .join(firsts, ["shard", "chunk"])
-        .select(
-            "id", "bytes", "tokens", "crc32", "shard",
-            (F.col("first") + F.col("rank")).cast("bigint").alias("slot"),
-        )
-    )
-
-
 def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = shard_by_vectors(read_table(spark, sf_dir, "documents"))
     return shards.select(
