@@ -3,6 +3,7 @@
 from civiclens.llm.bpe import op7_forced_boundaries
 from civiclens.llm.fingerprints import op3_one_permutation
 from civiclens.llm.language import op1_subword_softmax
+from civiclens.llm.minhash import op8_minhash_stars
 from civiclens.llm.packing import op6_exact_complements
 from civiclens.llm.sharding import op2_vector_packing
 from civiclens.llm.toxicity import op9_compression_distance
@@ -15,6 +16,7 @@ QUERIES = {
     "op6_exact_complements": op6_exact_complements,
     "op7_forced_boundaries": op7_forced_boundaries,
     "op2_vector_packing": op2_vector_packing,
+    "op8_minhash_stars": op8_minhash_stars,
     "op9_compression_distance": op9_compression_distance,
 }
 ORACLES: dict[str, str] = {}
