@@ -1,6 +1,7 @@
 """Registered queries of the operators on texts, and the DuckDB SQL of those SQL can express."""
 
 from civiclens.llm.bpe import op7_forced_boundaries
+from civiclens.llm.embeddings import op10_nn_descent
 from civiclens.llm.fingerprints import op3_one_permutation
 from civiclens.llm.language import op1_subword_softmax
 from civiclens.llm.minhash import op8_minhash_stars
@@ -18,5 +19,6 @@ QUERIES = {
     "op2_vector_packing": op2_vector_packing,
     "op8_minhash_stars": op8_minhash_stars,
     "op9_compression_distance": op9_compression_distance,
+    "op10_nn_descent": op10_nn_descent,
 }
 ORACLES: dict[str, str] = {}
