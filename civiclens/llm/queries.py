@@ -7,12 +7,14 @@ from civiclens.llm.language import op1_subword_softmax
 from civiclens.llm.minhash import op8_minhash_stars
 from civiclens.llm.packing import op6_exact_complements
 from civiclens.llm.sharding import op2_vector_packing
+from civiclens.llm.suffixes import op4_prefix_doubling
 from civiclens.llm.toxicity import op9_compression_distance
 from civiclens.llm.warc import op5_arc_converter
 
 QUERIES = {
     "op1_subword_softmax": op1_subword_softmax,
     "op3_one_permutation": op3_one_permutation,
+    "op4_prefix_doubling": op4_prefix_doubling,
     "op5_arc_converter": op5_arc_converter,
     "op6_exact_complements": op6_exact_complements,
     "op7_forced_boundaries": op7_forced_boundaries,
