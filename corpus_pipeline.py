@@ -1,8 +1,83 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Each stage takes what the one before kept, as written, and its decisions take effect. All but the
+last return the columns of ``documents``. Rows with a NULL id or text and empty tables pass
+through as the operators of the stages say. ``ORACLE_SQL`` is None, as SQL cannot express
+trained stages; tests compare the stages with plain versions.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from civiclens.llm import language, minhash, packing, suffixes, toxicity
+from civiclens.llm.tables import read_table, written
 
-STAGES = []
 ORACLE_SQL = None
+_SCORE = "toxicity score"
+_FOUND = "found language "
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that compression distance calls toxic (score of 0.5 or more)."""
+    model = toxicity.train_on(docs, read_table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, model, score_column=_SCORE)
+    return scored.filter(F.col(f"`{_SCORE}`") < 0.5).drop(_SCORE)
+
+
+def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents in no known language: no letters, or too unsure a prediction.
+
+    Where no document has a language there is nothing to learn, and all stay.
+    """
+    model = language.train_on(docs)
+    if model is None:
+        return docs
+    named = language.identify(docs, model, prefix=_FOUND)
+    return named.filter(F.col(f"`{_FOUND}accepted`")).select(*[f"`{c}`" for c in docs.columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five words, 0.8), that with the smallest id.
+
+    Only ids that go are joined with the documents. Of rows that repeat an id one stays.
+    """
+    judged = written(minhash.near_duplicates(docs), "near-duplicates")
+    repeated = judged.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    gone = judged.filter("not kept").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti")
+    if repeated.isEmpty():
+        return left.select(*docs.columns)
+    single = left.join(repeated.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    others = left.join(repeated.select("doc_id"), "doc_id", "left_anti")
+    return others.unionByName(single).select(*docs.columns)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings of 200 bytes that are repeated, and their new ``n_chars``.
+
+    No document goes: one that only holds repeated text stays with what is left, maybe nothing.
+    """
+    left = suffixes.remove_repeats(docs)
+    counted = F.coalesce(F.length("text").cast("bigint"), F.lit(0).cast("bigint"))
+    return left.withColumn("n_chars", counted).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences of 4,096 tokens."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language", drop_unknown_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("suffix_array", drop_repeats),
+    ("packing", pack),
+]
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
