@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civiclens.llm.tables import read_table, written
-from civiclens.llm.texts import SLICE_BYTES, RollingHash, flat, mix, shingles, slices
+from civiclens.llm.texts import SLICE_BYTES, RollingHash, flat, mix, random_words, shingles, slices
 
 BINS = 512
 BITS = 4
@@ -44,7 +44,9 @@ class Fingerprinter:
         lowest = np.full(texts * self.bins, _EMPTY)
         np.minimum.at(lowest, at, mix(values))
         lowest = self._densified(lowest.reshape(texts, self.bins))
-        kept = (lowest & np.uint64((1 << self.bits) - 1)).astype(np.uint8)
+        # The bits depend on the bin too, else bins with one source would agree or differ together.
+        salted = mix(lowest + random_words(self.bins, 41))
+        kept = (salted & np.uint64((1 << self.bits) - 1)).astype(np.uint8)
         kept[lowest == _EMPTY] = 0
         return self._packed(kept)
 
@@ -202,11 +204,14 @@ def _head_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-@F.arrow_udf("double")
-def _near(a: pa.Array, b: pa.Array) -> pa.Array:
-    maker = Fingerprinter()
-    left, right = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(len(x), -1) for x in (a, b))
-    return pa.array(maker.compared(left, right))
+def _near():
+    @F.arrow_udf("double")
+    def near(a: pa.Array, b: pa.Array) -> pa.Array:
+        maker = Fingerprinter()
+        left, right = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(len(x), -1) for x in (a, b))
+        return pa.array(maker.compared(left, right))
+
+    return near
 
 
 def op3_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,5 +255,5 @@ def op3_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.hex("print")).alias("fingerprint"),
         F.lower(F.hex("edited_print")).alias("edited_fingerprint"),
         "near_edited",
-        _near("print", F.coalesce(F.unhex("next_print"), "print")).alias("near_next"),
+        _near()("print", F.coalesce(F.unhex("next_print"), "print")).alias("near_next"),
     )
