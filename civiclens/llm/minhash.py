@@ -156,8 +156,9 @@ def near_duplicates(
 
     Two sets are linked if 100 times their intersection is at least ``percent`` times their
     union. A text without words, NULL among them, has an empty set and no links. An id is one
-    document: rows that repeat it belong together. A row with a NULL id is linked with nothing
-    and kept, without a component. Any other columns are not looked at.
+    document: rows that repeat it belong together, and where their texts differ they are linked
+    with others by equal sets only. A row with a NULL id is linked with nothing and kept, without
+    a component. Any other columns are not looked at.
     """
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     described = written(describe(texts, words, bands, rows), "described")
@@ -168,7 +169,8 @@ def near_duplicates(
         .dropDuplicates(["id", "digest"]),
         "tops",
     )
-    same_id = tops.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
+    tagged = linkable.select("id", "digest").distinct()
+    same_id = written(tagged.groupBy("id").count().filter("count > 1").select("id"), "repeated ids")
     banded = tops.select("id", F.explode(_buckets(bands, rows)("signature")).alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("hub"))
     members = written(banded.join(shared.filter("n > 1").select("bucket", "hub"), "bucket"), "members")
@@ -183,7 +185,7 @@ def near_duplicates(
     )
     links = _links(members, sets, percent)
     parts = connected_components(links)
-    tagged = linkable.select("id", "digest").distinct().join(classes, "digest")
+    tagged = tagged.join(classes, "digest")
     if not same_id.isEmpty():  # ids that repeat tie their classes together
         parts = connected_components(
             links.unionByName(tagged.select(F.col("id").alias("a"), F.col("top").alias("b")))
