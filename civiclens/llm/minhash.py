@@ -4,10 +4,11 @@ Texts are sets of word shingles. Equal sets are one class, by a digest of the wh
 has the minima of many universal hash functions; classes that agree in all rows of a band meet
 in a bucket. Pairs are verified by their signatures first and by their full sets then.
 
-A bucket of many near copies is never paired with itself. In each round every bucket has
-one hub, to which its members are compared unless they already are in one component. What rounds
-of hubs leave open, pairs of a bucket that are still in two components, is compared at last, so
-no link that the bands have found is lost to the result.
+A bucket of many near copies is never paired with itself. Every bucket has a hub, to which its
+members are compared, and then another, for those that are not in one component yet. What
+hubs leave open are members outside the main component of their bucket. The signatures of these
+and of the whole bucket are compared in blocks, and where they are near enough and still in two
+components, so are the sets. So no link that the bands have found is lost to the components.
 """
 
 import hashlib
@@ -26,17 +27,20 @@ WORDS = 5
 PERCENT = 80
 BANDS = 25
 ROWS = 5
-# A pair of the least similarity falls below this agreement once in some ten million times.
-_LEAST_AGREEMENT = 0.6
-_HUB_ROUNDS = 4
+# Hash functions of a signature; the bands take the first of them.
+HASHES = 200
+# Signatures of a pair of the least similarity agree less than so many deviations below the
+# mean once in a hundred thousand times.
+_DEVIATIONS = 4.2
+_BLOCK = 256
 _SHIFT = np.uint64(32)
 
 
 class Signer:
     """Sets, digests and signatures of many texts at a time."""
 
-    def __init__(self, words: int, bands: int, rows: int):
-        self.words, self.size = words, bands * rows
+    def __init__(self, words: int, size: int = HASHES):
+        self.words, self.size = words, size
         self.rolling = RollingHash(5)
         self.factors = random_words(self.size, 21) | np.uint64(1)
         self.terms = random_words(self.size, 22)
@@ -59,11 +63,11 @@ class Signer:
         return out
 
 
-def describe(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
+def describe(docs: DataFrame, words: int) -> DataFrame:
     """(``id``, ``n_shingles``, ``digest``, ``signature``) of each row of (``id``, ``text``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = Signer(words, bands, rows)
+        signer = Signer(words)
         for batch in batches:
             data, offsets = flat(batch.column(1))
             counts, digests, signatures = [], [], []
@@ -94,6 +98,7 @@ def _buckets(bands: int, rows: int):
     @F.arrow_udf("array<bigint>")
     def buckets(signatures: pa.Array) -> pa.Array:
         minima = np.frombuffer(b"".join(signatures.to_pylist()), np.uint32)
+        minima = minima.reshape(len(signatures), -1)[:, : bands * rows]
         keys = minima.reshape(-1, bands, rows).astype(np.uint64)
         out = np.broadcast_to(seeds, keys.shape[:2]).copy()
         for i in range(rows):
@@ -107,7 +112,7 @@ def _buckets(bands: int, rows: int):
 
 def _set_rows(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = Signer(words, 1, 1)
+        signer = Signer(words, 0)
         for batch in batches:
             data, offsets = flat(batch.column(1))
             out = []
@@ -123,13 +128,20 @@ def _set_rows(words: int):
     return run
 
 
+def _least_agreement(percent: int) -> float:
+    p = percent / 100
+    return p - _DEVIATIONS * (p * (1 - p) / HASHES) ** 0.5
+
+
 def _verify(percent: int):
+    least = _least_agreement(percent)
+
     @F.arrow_udf("boolean")
     def verified(sig_a: pa.Array, set_a: pa.Array, sig_b: pa.Array, set_b: pa.Array) -> pa.Array:
         out = []
         for sa, a, sb, b in zip(sig_a, set_a, sig_b, set_b):
             agree = np.frombuffer(sa.as_buffer(), np.uint32) == np.frombuffer(sb.as_buffer(), np.uint32)
-            if agree.mean() < _LEAST_AGREEMENT:
+            if agree.mean() < least:
                 out.append(False)
                 continue
             a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
@@ -161,7 +173,7 @@ def near_duplicates(
     a component. Any other columns are not looked at.
     """
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    described = written(describe(texts, words, bands, rows), "described")
+    described = written(describe(texts, words), "described")
     linkable = described.filter("id is not null and n_shingles > 0")
     classes = linkable.groupBy("digest").agg(F.min("id").alias("top"))
     tops = written(
@@ -171,7 +183,9 @@ def near_duplicates(
     )
     tagged = linkable.select("id", "digest").distinct()
     same_id = written(tagged.groupBy("id").count().filter("count > 1").select("id"), "repeated ids")
-    banded = tops.select("id", F.explode(_buckets(bands, rows)("signature")).alias("bucket"))
+    if bands * rows > HASHES:
+        raise ValueError(f"the bands take more than {HASHES} hashes")
+    banded = tops.select("id", F.posexplode(_buckets(bands, rows)("signature")).alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("hub"))
     members = written(banded.join(shared.filter("n > 1").select("bucket", "hub"), "bucket"), "members")
     found = members.select("id").distinct()
@@ -183,7 +197,7 @@ def near_duplicates(
         .dropDuplicates(["id"]),
         "sets",
     )
-    links = _links(members, sets, percent)
+    links = _links(members, sets, percent, bands, rows)
     parts = connected_components(links)
     tagged = tagged.join(classes, "digest")
     if not same_id.isEmpty():  # ids that repeat tie their classes together
@@ -201,59 +215,99 @@ def near_duplicates(
     )
 
 
-def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(members: DataFrame, sets: DataFrame, percent: int, bands: int, rows: int) -> DataFrame:
     """Verified links (``a``, ``b``), enough of them for the components that all links make."""
-    verified = _verify(percent)
-    tested = None
-    for turn in range(_HUB_ROUNDS + 1):
-        if tested is None:
-            pairs = members.select(F.col("hub").alias("a"), F.col("id").alias("b")).filter("a <> b")
-        else:
-            placed = _placed(members, tested)
-            if placed.isEmpty():
-                break
-            pairs = _star_pairs(placed, turn) if turn < _HUB_ROUNDS else _open_pairs(placed)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        left = sets.toDF("a", "sig_a", "set_a")
-        right = sets.toDF("b", "sig_b", "set_b")
-        judged = written(
-            pairs.join(left, "a").join(right, "b").select(
-                "a", "b", verified("sig_a", "set_a", "sig_b", "set_b").alias("linked")
-            ),
-            "judged",
-        )
-        tested = judged if tested is None else tested.unionByName(judged)
-    return tested.filter("linked").select("a", "b")
-
-
-def _placed(members: DataFrame, tested: DataFrame) -> DataFrame:
+    pairs = members.select(F.col("hub").alias("a"), F.col("id").alias("b")).filter("a <> b")
+    tested = _judged(pairs, sets, percent)
+    links = tested.filter("linked").select("a", "b")
+    placed = _placed(members.select("band", "bucket", "id"), links)
+    for pairs_of in (_star_pairs, lambda left: _open_pairs(left, sets, percent, bands, rows)):
+        if placed.isEmpty():
+            break
+        judged = _judged(pairs_of(placed), sets, percent, tested)
+        tested = tested.unionByName(judged)
+        links = links.unionByName(judged.filter("linked").select("a", "b"))
+        if pairs_of is _star_pairs:
+            placed = _placed(placed.select("band", "bucket", "id"), links)
+    return links
+
+
+def _judged(pairs: DataFrame, sets: DataFrame, percent: int, tested: DataFrame | None = None) -> DataFrame:
+    """(``a``, ``b``, ``linked``) for pairs that were not tested before."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    if tested is not None:
+        pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    left, right = sets.toDF("a", "sig_a", "set_a"), sets.toDF("b", "sig_b", "set_b")
+    linked = _verify(percent)("sig_a", "set_a", "sig_b", "set_b").alias("linked")
+    return written(pairs.join(left, "a").join(right, "b").select("a", "b", linked), "judged")
+
+
+def _placed(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members of buckets that are in more than one component, with their component."""
-    parts = connected_components(tested.filter("linked").select("a", "b"))
-    placed = members.join(parts, "id", "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("component")
+    placed = members.join(connected_components(links), "id", "left").select(
+        "band", "bucket", "id", F.coalesce("component", "id").alias("component")
     )
     placed = written(placed, "placed")
     split = placed.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).filter("low < high")
-    return placed.join(split.select("bucket"), "bucket")
+    return written(placed.join(split.select("bucket"), "bucket"), "placed")
 
 
-def _star_pairs(placed: DataFrame, turn: int) -> DataFrame:
+def _star_pairs(placed: DataFrame) -> DataFrame:
     """The members of each bucket with a hub chosen by a hash, unless they are in one component."""
-    drawn = F.struct(F.xxhash64("bucket", "id", F.lit(turn)), "id", "component")
+    drawn = F.struct(F.xxhash64("bucket", "id"), "id", "component")
     hubs = placed.groupBy("bucket").agg(F.min(drawn).alias("hub"))
     pairs = placed.join(hubs, "bucket").filter("component <> hub.component")
     return pairs.select(F.col("hub.id").alias("a"), F.col("id").alias("b"))
 
 
-def _open_pairs(placed: DataFrame) -> DataFrame:
-    """All pairs of a bucket that are still in two components."""
-    one, two = placed.toDF("bucket", "a", "part_a"), placed.toDF("bucket", "b", "part_b")
-    apart = (F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b"))
-    return one.join(two, (one["bucket"] == two["bucket"]) & apart).select("a", "b")
+def _open_pairs(placed: DataFrame, sets: DataFrame, percent: int, bands: int, rows: int) -> DataFrame:
+    """Pairs of a bucket in two components whose signatures are near enough.
+
+    One of a pair is outside the main component of the bucket. Blocks of these and of all members
+    are dealt by a hash, some ``_BLOCK`` members each, and joined on the bucket.
+    """
+    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "component"))["component"].alias("main")
+    )
+    dealt = placed.join(main, "bucket").join(sets.select("id", "signature"), "id")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / _BLOCK)))
+    dealt = written(dealt, "dealt")
+
+    def blocks(some: DataFrame, name: str) -> DataFrame:
+        members = F.collect_list(F.struct("id", "component", "signature")).alias(name)
+        return some.groupBy("bucket", "band", "block").agg(members).drop("block")
+
+    outside = blocks(dealt.filter("component <> main"), "one")
+    whole = blocks(dealt, "two").drop("band")
+    near = _near_signatures(_least_agreement(percent), bands, rows)
+    return outside.join(whole, "bucket").select("band", "one", "two").mapInArrow(near, "a bigint, b bigint")
+
+
+def _near_signatures(least: float, bands: int, rows: int):
+    def matrix(block: pa.Scalar):
+        fields = block.values
+        ids, parts = (np.array(fields.field(i).to_pylist(), np.int64) for i in (0, 1))
+        signatures = np.frombuffer(b"".join(fields.field(2).to_pylist()), np.uint32)
+        return ids, parts, signatures.reshape(len(ids), -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            for band, one, two in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                (a, part_a, x), (b, part_b, y) = matrix(one), matrix(two)
+                for i in range(len(a)):
+                    equal = y == x[i]
+                    same = equal[:, : bands * rows].reshape(len(b), bands, rows).all(axis=2)
+                    # Members that meet in several bands are taken in the first of these.
+                    hit = (equal.mean(axis=1) >= least) & (part_b != part_a[i]) & (same.argmax(axis=1) == band)
+                    found.append((np.full(hit.sum(), a[i]), b[hit]))
+            columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    return run
 
 
 def op8_minhash_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
