@@ -80,7 +80,7 @@ class Subwords:
                 whole = whole[: len(step)] & (code[size - 2 : len(code) - 1] > 0)
             else:
                 whole = whole[: len(step)]
-            real = whole & ((step > 0) | (code[: len(step)] > 0))
+            real = whole & ((size > 2) | (step > 0) | (code[: len(step)] > 0))
             buckets.append((mix(value[real]) & self.mask).astype(np.int64))
             owners.append(owner[size - 1 :][real])
         return np.concatenate(buckets), np.concatenate(owners), letters
@@ -100,6 +100,7 @@ def train(texts: list[str], languages: list[str]) -> LanguageModel | None:
     x /= x.sum(axis=1, keepdims=True)
     tuning = np.arange(len(x)) >= max(1, int(len(x) * (1 - _TUNING)))
     embeddings, layer, bias = _descend(x[~tuning], y[~tuning], len(kinds))
+    embeddings[x[~tuning].sum(axis=0) == 0] = 0  # never seen, so they say nothing
     table = embeddings @ layer
     if not tuning.any():
         tuning = ~tuning
