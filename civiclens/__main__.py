@@ -14,8 +14,9 @@ from civiclens.operators.joins import STRATEGIES
 from civiclens.operators.nearest import METHODS, nearest_summary
 from civiclens.operators.profile import dataset_profile
 from civiclens.plans import families
+from civiclens.scratch import clear
 from civiclens.sources.readers import read_csv
-from civiclens.sources.writers import csv_to_parquet
+from civiclens.sources.writers import csv_to_parquet, features_to_parquet, write_rows
 
 LABELS = {"en": contracts.DAY_PART_LABELS, "el": contracts.DAY_PART_LABELS_GREEK}
 
@@ -52,6 +53,10 @@ def convert(spark, args) -> None:
     csv_to_parquet(spark, dict(zip(args.crimes, args.to, strict=True)))
 
 
+def convert_features(spark, args) -> None:
+    features_to_parquet(spark, args.blocks, args.to)
+
+
 def profile(spark, args) -> DataFrame:
     return dataset_profile(read_csv(spark, args.path))
 
@@ -73,6 +78,8 @@ def parser() -> argparse.ArgumentParser:
         sub = commands.add_parser(run.__name__)
         sub.set_defaults(run=run)
         sub.add_argument("--rows", type=int, default=rows, help="rows to print")
+        sub.add_argument("--out", help="folder for all rows of the result, instead of printing")
+        sub.add_argument("--out-format", choices=("csv", "parquet"), default="csv")
         for option in options:
             sub.add_argument(option, required=True, nargs="+" if option == "--crimes" else None)
         if "--crimes" in options and run is not convert:
@@ -90,6 +97,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--strict", action="store_true", help="missing counts are 0, no empty ZIP")
     command(nearest, 30, "--crimes", "--stations").add_argument("--method", choices=METHODS)
     command(convert, 0, "--crimes").add_argument("--to", required=True, nargs="+")
+    command(convert_features, 0, "--blocks").add_argument("--to", required=True)
     command(profile, 1000, "--path")
     command(preview, 5, "--path")
     command(timers, 1000, "--path")
@@ -104,7 +112,11 @@ def main(arguments: list[str] | None = None) -> None:
     if result is not None:
         if args.explain:
             result.explain("formatted")
-        result.show(args.rows, truncate=False)
+        if args.out:
+            write_rows(result, args.out, args.out_format)
+        else:
+            result.show(args.rows, truncate=False)
+    clear(spark)
     print(f"[TIMER] {args.command}: {time.perf_counter() - start:.3f} s")
 
 

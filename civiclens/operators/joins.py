@@ -16,7 +16,7 @@ STRATEGIES = (None, "BROADCAST", "MERGE", "SHUFFLE_HASH", "REPLICATE_HOT_KEYS")
 
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows. Runs a job that stops once it knows."""
-    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
+    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
 def equi_join(
@@ -26,25 +26,24 @@ def equi_join(
     strategy: str | None = None,
     *,
     broadcast_rows: int = BROADCAST_ROWS,
-    bound: DataFrame | None = None,
+    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
-    """Inner join on equal column names.
+    """Inner join on equal column names; ``left`` is the side with few rows per key.
 
-    ``BROADCAST`` counts the right side first and is left to the planner if it
-    has over ``broadcast_rows`` rows; ``bound`` is counted in its place if given,
-    a table that has at least as many rows and is cheaper to count. ``MERGE``
-    and ``SHUFFLE_HASH`` are hints. ``REPLICATE_HOT_KEYS`` is
-    :func:`hot_key_join` with ``left`` unique per key.
+    The strategies are hints on ``left``, so that no hash table is built of a hot
+    key's rows. ``BROADCAST`` counts it first, and raises a ``ValueError`` if it has
+    over ``broadcast_rows`` rows. ``REPLICATE_HOT_KEYS`` is :func:`hot_key_join`
+    with ``left`` unique per key.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}")
     on = list(on)
     if strategy == "REPLICATE_HOT_KEYS":
         columns = [*left.columns, *[name for name in right.columns if name not in on]]
-        return hot_key_join(right, left, on).select(*columns)
-    if strategy == "BROADCAST" and not fits(right if bound is None else bound, broadcast_rows):
-        strategy = None
-    return left.join(right.hint(strategy) if strategy else right, on)
+        return hot_key_join(right, left, on, hot_share=hot_share).select(*columns)
+    if strategy == "BROADCAST" and not fits(left, broadcast_rows):
+        raise ValueError(f"the side to broadcast has over {broadcast_rows} rows")
+    return (left.hint(strategy) if strategy else left).join(right, on)
 
 
 def hot_key_join(
@@ -53,16 +52,21 @@ def hot_key_join(
     """Inner join of ``many`` rows per key with ``one`` row per key, safe for hot keys.
 
     A key is hot if it holds over ``1 / hot_share`` of ``many``, so fewer than
-    ``hot_share`` keys are. They are counted and written first. Their rows of
-    ``one`` are replicated to every task, and their rows of ``many`` stay where
-    they are; the rest is shuffled.
+    ``hot_share`` keys are. They are counted and written first, and so are their
+    rows of ``one``: if these are more than the keys, ``one`` is not unique and a
+    ``ValueError`` is raised. Else they are replicated to every task, and their rows of
+    ``many`` stay where they are; the rest is shuffled.
     """
     on = list(on)
-    counts = many.groupBy(*on).agg(F.count("*").alias("key_rows"))
-    total = counts.agg(F.sum("key_rows")).scalar()
-    hot = materialise(counts.filter(F.col("key_rows") * hot_share > total).select(*on), "hot-keys")
+    rows = "rows of the key"
+    counts = many.groupBy(*on).agg(F.count("*").alias(rows))
+    total = counts.agg(F.sum(rows)).scalar()
+    hot = materialise(counts.filter(F.col(rows) * hot_share > total).select(*on), "hot-keys")
     hot = F.broadcast(hot)
-    replicated = many.join(F.broadcast(one.join(hot, on, "left_semi")), on)
+    few = materialise(one.join(hot, on, "left_semi"), "hot-rows")
+    if not fits(few, hot.count()):
+        raise ValueError("the side to replicate has several rows per key")
+    replicated = many.join(F.broadcast(few), on)
     shuffled = many.join(hot, on, "left_anti").join(one, on)
     return replicated.unionByName(shuffled)
 

@@ -2,9 +2,10 @@
 
 ``points`` have ``lat`` and ``lon`` in degrees and any other columns; ``sites``
 have ``site``, ``lat`` and ``lon``. The result has the columns of ``points``
-with ``site`` and ``dist_km``, one row per point with a location; equal
-distances go to the smaller site name. There is no pairing of all points with
-all sites as rows in any of the methods:
+with ``site`` and ``dist_km`` (which replace columns of these names), one row per
+point with a location. Sites without a name or a location take no part, and equal
+distances go to the smaller name, whatever the method. None pairs all points with
+all sites as rows:
 
 ``vector``
     Up to ``MAX_VECTOR_SITES`` sites travel with the task. One pass over the
@@ -33,10 +34,10 @@ from civiclens.scratch import materialise
 METHODS = ("vector", "array", "grid")
 MAX_VECTOR_SITES = 256
 
-# Cell sides in degrees, each a quarter of the one before.
-_CELL_SIDES = tuple(16.0 / 4**level for level in range(9))
+# Cell sides in degrees, each a quarter of the one before. The last is a millimetre on the
+# ground, less than coordinates tell apart. There are 529 cells of the first side at most.
+_CELL_SIDES = tuple(16.0 / 4**level for level in range(16))
 _FIRST_CELLS = 16
-_FIRST_PAIRS = 2_000_000
 _SITES_PER_POINT = 8
 _SITES_PER_LIST = 64
 _ROUNDING_KM = 1e-6
@@ -48,22 +49,30 @@ def nearest_site(points: DataFrame, sites: DataFrame, method: str | None = None)
     """Nearest site of every point. Counts up to ``MAX_VECTOR_SITES`` sites first.
 
     Without a ``method`` it is ``vector`` for so many sites and ``grid`` beyond
-    them; the first two methods give way to ``grid`` as well. ``grid`` writes
-    tables while the plan is built.
+    them. The first two methods take no more sites than that, and raise a ``ValueError``
+    if there are. ``grid`` writes tables while the plan is built.
     """
     if method not in (None, *METHODS):
         raise ValueError(f"unknown method {method!r}")
     located = is_located(F.col("lat"), F.col("lon"))
-    points = points.filter(located)
-    sites = sites.filter(located).select(
+    # The caller's columns travel as one, so that no name of theirs meets one of ours.
+    own = [F.col(f"`{name}`") for name in points.columns if name not in ("site", "dist_km")]
+    points = points.filter(located).select(F.struct(*own).alias("point"), "lat", "lon")
+    sites = sites.filter(located & F.col("site").isNotNull()).select(
         "site", F.col("lat").alias("site_lat"), F.col("lon").alias("site_lon")
     )
     few = [] if method == "grid" else sites.take(MAX_VECTOR_SITES + 1)
+    if len(few) > MAX_VECTOR_SITES and method is not None:
+        raise ValueError(f"{method} takes at most {MAX_VECTOR_SITES} sites; use grid")
     if method == "grid" or len(few) > MAX_VECTOR_SITES:
-        return _nearest_by_grid(points, sites)
-    if not few:
-        return _with_nearest(points, F.lit(None).cast("struct<dist_km double, site string>"))
-    return _nearest_by_array(points, sites) if method == "array" else _nearest_by_vector(points, few)
+        nearest = _nearest_by_grid(points, sites)
+    elif not few:
+        nearest = _with_nearest(points, F.lit(None).cast("struct<dist_km double, site string>"))
+    elif method == "array":
+        nearest = _nearest_by_array(points, sites)
+    else:
+        nearest = _nearest_by_vector(points, few)
+    return nearest.select("point.*", "site", "dist_km")
 
 
 def nearest_summary(
@@ -98,7 +107,7 @@ def _pair_distances():
         half_lat = np.sin(np.radians(site_lat - lat) / 2)
         half_lon = np.sin(np.radians(site_lon - lon) / 2)
         chord = half_lat**2 + np.cos(np.radians(lat)) * np.cos(np.radians(site_lat)) * half_lon**2
-        dist = diameter * np.arcsin(np.sqrt(np.minimum(chord, 1.0)))
+        dist = diameter * np.arcsin(np.sqrt(np.clip(chord, 0.0, 1.0)))
         first = np.flatnonzero(np.diff(row, prepend=-1))
         ties = np.flatnonzero(dist == np.minimum.reduceat(dist, first)[row])
         best = ties[np.flatnonzero(np.diff(row[ties], prepend=-1))]
@@ -113,7 +122,7 @@ def _nearest_of(sites: list[Row]):
     The product of unit vectors rules out nearly all pairs; its error is far
     below the margin. What is left is compared by distance.
     """
-    sites = sorted(sites, key=lambda row: (row.site is not None, row.site))
+    sites = sorted(sites, key=lambda row: row.site)
     names = np.array([row.site for row in sites], dtype=object)
     site_lat = np.array([row.site_lat for row in sites])
     site_lon = np.array([row.site_lon for row in sites])
@@ -184,15 +193,14 @@ def _coarser(level: int) -> dict[str, Column]:
     return {cell: F.floor(F.col(cell) / 4 ** (len(_CELL_SIDES) - 1 - level)) for cell in _CELL}
 
 
-def _first_level(fine: DataFrame, sites: int) -> tuple[int, int]:
-    """Last level whose cells, by an estimate, make few pairs with all sites; number of points."""
+def _first_level(fine: DataFrame) -> tuple[int, int]:
+    """Last level that has few cells, by an estimate, and number of points."""
     levels = range(len(_CELL_SIDES))
     counts = fine.agg(
         F.sum("cell_points"),
         *[F.approx_count_distinct(F.struct(*_coarser(level).values())) for level in levels],
     ).first()
-    limit = max(_FIRST_CELLS, _FIRST_PAIRS // max(sites, 1))
-    few = [level for level in levels if counts[1 + level] <= limit]
+    few = [level for level in levels if counts[1 + level] <= _FIRST_CELLS]
     return max(few, default=0), counts[0] or 0
 
 
@@ -203,13 +211,13 @@ def _candidates(points: DataFrame, sites: DataFrame) -> tuple[DataFrame, float,
 
     With ``r`` the farthest any point of a cell is from its centre, a site over
     ``2 r`` farther from the centre than the closest one cannot be nearest to
-    any point of the cell. Starting with few cells that cover all points, each
-    step quarters the sides and keeps what passes, so sites meet only the
-    cells around them. It ends when a point has few sites to look at on
-    average.
+    any point of the cell. The few cells of the first level, no more than there are
+    on the globe, are an array in each site's row. Each step quarters the sides, and
+    what passes meets the cells inside its cell by an equi-join, so sites meet only
+    the cells around them. It ends when a point has few sites to look at on average.
 
     The points are read once, into counts of the smallest cells. Each step
-    writes three tables and reads two numbers. A join with a written table is
+    writes one table and reads two numbers. A join with a written table is
     planned by its size: broadcast if small, and else shuffled on both sides, so
     that adaptive execution can split a crowded cell.
     """
@@ -219,30 +227,35 @@ def _candidates(points: DataFrame, sites: DataFrame) -> tuple[DataFrame, float,
         .agg(F.count("*").alias("cell_points")),
         "fine-cells",
     )
-    first, all_points = _first_level(fine, sites.count())
-    root = F.lit(0).cast("bigint")
-    pool = sites.select("*", *[root.alias(parent) for parent in _PARENT])
+    first, all_points = _first_level(fine)
+    if not all_points:
+        none = {cell: F.lit(0).cast("bigint") for cell in _CELL}
+        return sites.limit(0).withColumns(none), _CELL_SIDES[0], False
+    pool = None
     for level in range(first, len(_CELL_SIDES)):
         side = _CELL_SIDES[level]
-        parents = {
-            parent: root if level == first else F.floor(F.col(cell) / 4)
-            for parent, cell in zip(_PARENT, _CELL)
-        }
-        cells = materialise(
+        cells = (
             fine.withColumns(_coarser(level))
             .groupBy(*_CELL)
             .agg(F.sum("cell_points").alias("cell_points"))
-            .withColumns(parents),
-            "cells",
         )
+        if pool is None:
+            listed = F.array(
+                *[
+                    F.struct(*[F.lit(row[name]).alias(name) for name in cells.columns])
+                    for row in cells.collect()
+                ]
+            )
+            pairs = sites.select("*", F.inline(listed))
+        else:
+            inside = {parent: F.floor(F.col(cell) / 4) for parent, cell in zip(_PARENT, _CELL)}
+            pairs = pool.join(cells.withColumns(inside), _PARENT).drop(*_PARENT)
         centre_lat = (F.col("cell_lat") + 0.5) * side
         centre_lon = (F.col("cell_lon") + 0.5) * side
-        pairs = pool.join(cells, _PARENT).withColumn(
+        pairs = pairs.withColumn(
             "dist_km", haversine_km(centre_lat, centre_lon, F.col("site_lat"), F.col("site_lon"))
         )
-        closest = materialise(
-            pairs.groupBy(*_CELL).agg(F.min("dist_km").alias("closest_km")), "closest"
-        )
+        closest = pairs.groupBy(*_CELL).agg(F.min("dist_km").alias("closest_km"))
         radius = contracts.EARTH_RADIUS_KM * math.radians(side / 2) * math.sqrt(2)
         near = pairs.join(closest, _CELL).filter(
             F.col("dist_km") <= F.col("closest_km") + 2 * radius + _ROUNDING_KM
@@ -284,9 +297,16 @@ def _nearest_by_grid(points: DataFrame, sites: DataFrame) -> DataFrame:
     )
     placed = points.withColumns(_cells(side))
     found = _nearest_listed()("lat", "lon", "site_lat", "site_lon")
+    # A point that no list covers was not there when the lists were made: fail, do not lose it.
+    missing = F.raise_error(F.lit("the points changed while their cells were read"))
+    joined = placed if not any_crowded else placed.join(crowded, _CELL, "left_anti")
+    joined = joined.join(lists, _CELL, "left")
+    if not sites.isEmpty():
+        joined = joined.withColumn("site", F.when(F.col("site").isNotNull(), F.col("site")).otherwise(missing))
+    else:
+        joined = joined.filter("site is not null")
     nearest = (
-        placed.join(lists, _CELL)
-        .select(*points.columns, F.col("site").alias("sites"), F.inline(F.array(found)))
+        joined.select(*points.columns, F.col("site").alias("sites"), F.inline(F.array(found)))
         .select(*points.columns, F.get("sites", F.col("at")).alias("site"), "dist_km")
     )
     if not any_crowded:

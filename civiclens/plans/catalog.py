@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civiclens import contracts
 from civiclens.functions.buckets import day_part
 from civiclens.functions.geo import haversine_km, is_known_location
 from civiclens.functions.parsing import lenient_int, money_to_int, parse_date_any
@@ -27,7 +28,7 @@ from civiclens.sources.readers import (
     read_lines,
     read_parquet,
 )
-from civiclens.sources.writers import csv_to_parquet, write_features
+from civiclens.sources.writers import csv_to_parquet, features_to_parquet, write_features
 
 CLICK = "click"
 BLOCK_PROPERTIES = T.StructType(
@@ -50,7 +51,7 @@ def _written(spark: SparkSession, df: DataFrame, name: str, fmt: str, **options)
 
 
 def _written_csv(spark, df, name, **options):
-    return _written(spark, df, name, "csv", header=True, **options)
+    return _written(spark, df, name, "csv", header=True, escape='"', **options)
 
 
 def _crime_files(spark, folder) -> list[str]:
@@ -87,6 +88,18 @@ def scan_csv_semicolon(spark, folder):
     return read_csv(spark, _written_csv(spark, income, "income", sep=";"), ";")
 
 
+def scan_csv_quoted(spark, folder):
+    """Text with doubled quotes, commas and a backslash at the end, written by hand as lines."""
+    quoted = F.concat(
+        F.lit('"say ""'), F.col("event_type"), F.lit('"", '), F.replace("props", F.lit('"'), F.lit('""')), F.lit('"')
+    )
+    path = F.concat(F.lit('"'), F.col("event_type"), F.lit('\\"'))
+    events = _table(spark, folder, "events")
+    lines = events.select(F.concat_ws(",", F.col("event_id").cast("string"), quoted, path).alias("event_id,remark,path"))
+    options = {"header": True, "quote": "", "sep": "\x01", "escape": "\x02"}
+    return read_csv(spark, _written(spark, lines, "quoted", "csv", **options))
+
+
 def _feature_files(spark, folder) -> str:
     path = scratch_path(spark, "features")
     write_features(inputs.blocks(spark, folder), path, "block")
@@ -197,6 +210,75 @@ def timer_log_extract(spark, folder):
     return families.load_timers(spark, path, source)
 
 
+# ---- the published files, by their loaders ----------------------------------------------
+
+
+def _published_crimes(spark, table):
+    """A crime file with the columns of the table under their published names; others are empty."""
+    names = {
+        "time_text": contracts.CRIME_TIME,
+        "place": contracts.CRIME_PLACE,
+        "date_text": contracts.CRIME_DATE,
+        "lat": contracts.CRIME_LAT,
+        "lon": contracts.CRIME_LON,
+    }
+    picked = [
+        (F.col(name) if name in table.columns else F.lit(None)).cast("string").alias(published)
+        for name, published in names.items()
+    ]
+    return families.load_crimes(spark, [_written_csv(spark, table.select(*picked), "crimes")])
+
+
+def share_from_files(spark, folder):
+    crimes = _published_crimes(spark, inputs.crimes(spark, folder))
+    return families.day_part_share(crimes, CLICK)
+
+
+def top_months_from_files(spark, folder):
+    return families.top_months(_published_crimes(spark, inputs.dates(spark, folder)))
+
+
+def _per_capita_files(strict):
+    def query(spark, folder):
+        blocks = inputs.blocks(spark, folder).withColumnsRenamed(
+            {
+                "zip": contracts.BLOCK_ZIP,
+                "pop": contracts.BLOCK_POPULATION,
+                "households": contracts.BLOCK_HOUSING,
+            }
+        )
+        features = scratch_path(spark, "blocks")
+        write_features(blocks, features, "block")
+        income = inputs.income(spark, folder).withColumnsRenamed(
+            {"zip": contracts.INCOME_ZIP, "income_text": contracts.INCOME_MEDIAN}
+        )
+        table = _written_csv(spark, income, "income", sep=contracts.INCOME_SEPARATOR)
+        return families.per_capita(
+            families.load_blocks(spark, features, strict=strict),
+            families.load_income(spark, table, strict=strict),
+            strict=strict,
+        )
+
+    return query
+
+
+def nearest_from_files(spark, folder):
+    stations = inputs.sites(spark, folder).select(
+        F.col("site").alias(contracts.STATION_NAME),
+        F.col("lat").alias(contracts.STATION_LAT),
+        F.col("lon").alias(contracts.STATION_LON),
+    )
+    crimes = _published_crimes(spark, inputs.points(spark, folder))
+    sites = families.load_stations(spark, _written_csv(spark, stations, "stations"))
+    return nearest_summary(families.known_locations(crimes), sites)
+
+
+def convert_features(spark, folder):
+    path = scratch_path(spark, "converted")
+    features_to_parquet(spark, _feature_files(spark, folder), path, BLOCK_PROPERTIES)
+    return read_parquet(spark, path)
+
+
 # ---- filters and functions ------------------------------------------------------------
 
 
@@ -340,6 +422,11 @@ def _nearest_by(method, sites):
     return query
 
 
+def nearest_site_dense(spark, folder):
+    nearest = nearest_site(inputs.dense_points(spark, folder), inputs.dense_sites(spark, folder), "grid")
+    return nearest.select("id", "site", F.round("dist_km", 6).alias("dist_km"))
+
+
 def _summary_by(method, sites):
     def query(spark, folder):
         return nearest_summary(_known_points(spark, folder), sites(spark, folder), method)
@@ -354,6 +441,7 @@ def nearest_strategy_matrix(spark, folder):
 
 QUERIES = {
     "scan_csv": scan_csv,
+    "scan_csv_quoted": scan_csv_quoted,
     "scan_csv_semicolon": scan_csv_semicolon,
     "scan_feature_collection": scan_feature_collection,
     "explode_features": explode_features,
@@ -396,6 +484,13 @@ QUERIES = {
     "nearest_site": _nearest_by(None, inputs.sites),
     "nearest_site_array": _nearest_by("array", inputs.sites),
     "nearest_site_grid": _nearest_by("grid", inputs.depots),
+    "nearest_site_dense": nearest_site_dense,
+    "share_from_files": share_from_files,
+    "top_months_from_files": top_months_from_files,
+    "per_capita_from_files": _per_capita_files(strict=False),
+    "per_capita_strict_from_files": _per_capita_files(strict=True),
+    "nearest_from_files": nearest_from_files,
+    "convert_features": convert_features,
     "nearest_summary": _summary_by(None, inputs.sites),
     "nearest_summary_grid": _summary_by("grid", inputs.depots),
     "nearest_strategy_matrix": nearest_strategy_matrix,

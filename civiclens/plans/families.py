@@ -233,7 +233,7 @@ def zip_income(
     are folded before the join, so a repeated ZIP is joined once per income.
     """
     left, right = by_zip(blocks, strict=strict), fold_copies(income)
-    return equi_join(left, right, ["zip"], strategy, bound=income)
+    return equi_join(left, right, ["zip"], strategy)
 
 
 def per_capita(
@@ -253,6 +253,8 @@ def top_per_capita(
     """The first ``k`` rows of :func:`per_capita`."""
     order = _per_capita_order()
     first = top_k(_per_capita_rows(blocks, income, None, strict), order, k)
+    # No row shows more than k of its copies.
+    first = first.withColumn(COPIES, F.least(COPIES, F.lit(k)))
     return top_k(unfold_copies(first), order, k)
 
 

@@ -81,7 +81,34 @@ def depots(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def dense_points(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders within a hundred metres of five spots."""
+    return _table(spark, folder, "orders").selectExpr(
+        "o_orderkey AS id",
+        "34.0D + o_orderkey % 5 * 0.5D + (o_orderkey * 7919 % 10007) / 10007.0D * 0.001D AS lat",
+        "-118.0D + (o_orderkey * 104729 % 10009) / 10009.0D * 0.001D AS lon",
+    )
+
+
+def dense_sites(spark: SparkSession, folder: str) -> DataFrame:
+    return _table(spark, folder, "supplier").selectExpr(
+        "s_name AS site",
+        "34.0D + s_suppkey % 5 * 0.5D + (s_suppkey * 3571 % 9973) / 9973.0D * 0.001D AS lat",
+        "-118.0D + (s_suppkey * 7307 % 9967) / 9967.0D * 0.001D AS lon",
+    )
+
+
 SQL = {
+    "dense_points": """SELECT o_orderkey AS id,
+        34.0::DOUBLE + o_orderkey % 5 * 0.5::DOUBLE
+          + (o_orderkey * 7919 % 10007) / 10007.0::DOUBLE * 0.001::DOUBLE AS lat,
+        -118.0::DOUBLE + (o_orderkey * 104729 % 10009) / 10009.0::DOUBLE * 0.001::DOUBLE AS lon
+      FROM orders""",
+    "dense_sites": """SELECT s_name AS site,
+        34.0::DOUBLE + s_suppkey % 5 * 0.5::DOUBLE
+          + (s_suppkey * 3571 % 9973) / 9973.0::DOUBLE * 0.001::DOUBLE AS lat,
+        -118.0::DOUBLE + (s_suppkey * 7307 % 9967) / 9967.0::DOUBLE * 0.001::DOUBLE AS lon
+      FROM supplier""",
     "crimes": """SELECT event_id,
         CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 50 = 1 THEN 'abcd'
              ELSE strftime(ts, '%H%M') END AS time_text,

@@ -59,6 +59,7 @@ _TOP_MONTHS = _with(
 _MONEY = "try_cast(regexp_replace(income_text, '[$,]', '', 'g') AS INTEGER)"
 _EARNED = f"""SELECT zip, {_MONEY} AS median_income FROM income
     WHERE {_MONEY} IS NOT NULL"""
+_EARNED_FILE = _EARNED + " AND zip <> ''"  # an empty field of a file is a missing one
 _BY_ZIP = """SELECT zip, CAST(sum(pop) AS BIGINT) AS total_pop,
       CAST(sum(households) AS BIGINT) AS total_households
     FROM blocks WHERE zip IS NOT NULL GROUP BY zip HAVING sum(pop) > 0"""
@@ -81,12 +82,12 @@ _KNOWN = """SELECT * FROM points
     WHERE lat IS NOT NULL AND lon IS NOT NULL AND lat <> 0 AND lon <> 0"""
 
 
-def _nearest(sites: str) -> str:
+def _nearest(sites: str, points: str = "points") -> str:
     dist = _haversine("p.lat", "p.lon", "s.lat", "s.lon")
     return _with(
-        "points",
+        points,
         sites,
-        known=_KNOWN,
+        known=_KNOWN.replace("points", points),
         pairs=f"""SELECT id, site, {dist} AS dist_km FROM known p, {sites} s
             WHERE s.lat IS NOT NULL AND s.lon IS NOT NULL""",
         nearest="""SELECT * FROM pairs
@@ -94,8 +95,8 @@ def _nearest(sites: str) -> str:
     )
 
 
-def _nearest_rows(sites: str) -> str:
-    return _nearest(sites) + f"SELECT id, site, round(dist_km, 6) AS dist_km FROM nearest"
+def _nearest_rows(sites: str, points: str = "points") -> str:
+    return _nearest(sites, points) + "SELECT id, site, round(dist_km, 6) AS dist_km FROM nearest"
 
 
 _SUMMARY = f"""SELECT site, {_half_up('avg(dist_km)', 3)} AS average_distance,
@@ -112,6 +113,8 @@ _CRIME_TEXT = """SELECT CAST(event_id AS VARCHAR) AS event_id, time_text, place
 ORACLES = {
     "scan_csv": """SELECT CAST(event_id AS VARCHAR) AS event_id,
         CAST(user_id AS VARCHAR) AS user_id, event_type, props FROM events""",
+    "scan_csv_quoted": """SELECT CAST(event_id AS VARCHAR) AS event_id,
+        'say "' || event_type || '", ' || props AS remark, event_type || '\\' AS path FROM events""",
     "scan_csv_semicolon": _with("income")
     + "SELECT nullif(zip, '') AS zip, community, income_text FROM income",
     "scan_feature_collection": _BLOCKS,
@@ -182,9 +185,17 @@ ORACLES = {
     "top_k_per_capita": _ZIPS_STRICT + _PER_CAPITA + " LIMIT 20",
     "nearest_site": _nearest_rows("sites"),
     "nearest_site_array": _nearest_rows("sites"),
+    "nearest_site_dense": _nearest_rows("dense_sites", "dense_points"),
     "nearest_site_grid": _nearest_rows("depots"),
     "nearest_summary": _nearest("sites") + _SUMMARY,
     "nearest_summary_grid": _nearest("depots") + _SUMMARY,
+    "convert_features": _BLOCKS,
+    "share_from_files": _with("crimes", parts=_PARTS) + _share(),
+    "top_months_from_files": _TOP_MONTHS,
+    "per_capita_from_files": _with("blocks", "income", earned=_EARNED_FILE, by_zip=_BY_ZIP)
+    + _PER_CAPITA,
+    "per_capita_strict_from_files": _ZIPS_STRICT + _PER_CAPITA,
+    "nearest_from_files": _nearest("sites") + _SUMMARY,
     "nearest_strategy_matrix": _nearest("sites")
     + _labelled(_SUMMARY, "strategy", ["vector", "array", "grid"]),
 }

@@ -9,9 +9,15 @@ from pyspark.sql import types as T
 from civiclens import contracts
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> DataFrame:
-    """CSV with a header; every column is text, and empty text is NULL."""
-    return spark.read.csv(path, header=True, sep=sep)
+def read_csv(
+    spark: SparkSession, path: str | Sequence[str], sep: str = ",", *, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header; every column is text, and empty text is NULL.
+
+    Quotes hold separators, doubled quotes stand for one, and a backslash is a character like
+    others (RFC 4180). Line breaks within quotes need ``multi_line``, by which a file is one task.
+    """
+    return spark.read.csv(path, header=True, sep=sep, quote='"', escape='"', multiLine=multi_line)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

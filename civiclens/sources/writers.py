@@ -4,8 +4,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from civiclens.sources.readers import read_csv
+from civiclens import contracts
+from civiclens.sources.readers import read_csv, read_features
 
 FEATURES_PER_FILE = 50_000
 
@@ -20,6 +22,24 @@ def csv_to_parquet(spark: SparkSession, folders: Mapping[str, str]) -> None:
         write_parquet(read_csv(spark, csv_path), parquet_path)
 
 
+def features_to_parquet(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    properties: T.StructType = contracts.BLOCK_PROPERTIES,
+) -> None:
+    """Convert GeoJSON files to Parquet once; queries over it are not bound to a task per file."""
+    write_parquet(read_features(spark, path, properties), target)
+
+
+def write_rows(df: DataFrame, path: str, fmt: str = "csv") -> None:
+    """All rows of a result as CSV with a header, or Parquet; what is there is replaced."""
+    if fmt == "parquet":
+        write_parquet(df, path)
+    else:
+        df.write.mode("overwrite").csv(path, header=True, escape='"')
+
+
 def write_features(df: DataFrame, path: str, number: str) -> None:
     """Write rows as GeoJSON, one FeatureCollection per file.
 

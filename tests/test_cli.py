@@ -36,6 +36,21 @@ def test_convert_then_query_parquet(run, files, tmp_path):  # noqa: F811
     assert "|night   |2     |33.33     |" in out
 
 
+def test_all_rows_go_out(run, tmp_path, spark):
+    lines = "".join(f"[TIMER] Q{i}: {i}.5 s\n" for i in range(1001))
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / "q.log").write_text(lines)
+    for fmt in ("csv", "parquet"):
+        out = str(tmp_path / fmt)
+        run("timers", "--path", str(tmp_path / "logs"), "--out", out, "--out-format", fmt)
+        assert spark.read.format(fmt).options(header=True).load(out).count() == 1001
+
+
+def test_features_are_converted(run, files, tmp_path, spark):  # noqa: F811
+    run("convert_features", "--blocks", files["blocks.geojson"], "--to", str(tmp_path / "blocks"))
+    assert "ZCTA20" in spark.read.parquet(str(tmp_path / "blocks")).columns
+
+
 def test_profile_preview_and_timers(run, files, tmp_path):  # noqa: F811
     assert "|LAT        |6        |5             |" in run("profile", "--path", files["a.csv"])
     assert run("preview", "--path", files["a.csv"]).count("STREET") == 4

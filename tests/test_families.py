@@ -183,3 +183,10 @@ def test_timers(spark, tmp_path):
         ("q1", "Q1", 1.5),
         ("q2", "Q2 (a=b): x", 2.0),
     ]
+
+
+def test_a_row_with_very_many_copies_is_not_unfolded(spark, monkeypatch):
+    rows = [("z", 10, 5, 100, 50.0, 10**12), ("y", 10, 5, 90, 45.0, 1)]
+    schema = "zip STRING, total_pop BIGINT, total_households BIGINT, median_income INT, per_capita_income DOUBLE, copies BIGINT"
+    monkeypatch.setattr(families, "_per_capita_rows", lambda *_: spark.createDataFrame(rows, schema))
+    assert [row["zip"] for row in families.top_per_capita(None, None, 3).collect()] == ["z"] * 3

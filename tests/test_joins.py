@@ -49,14 +49,13 @@ def test_unknown_strategy(sides):
 
 def test_broadcast_needs_a_small_side(spark, sides):
     left, right = sides
-    assert fits(right, 3000) and not fits(right, 2999)
+    assert fits(left, 50) and not fits(left, 49)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = equi_join(left, right, ["zip"], "BROADCAST", broadcast_rows=3000)
-        large = equi_join(left, right, ["zip"], "BROADCAST", broadcast_rows=2999)
-        assert "BroadcastHashJoin" in plan_of(small)
-        assert "BroadcastHashJoin" not in plan_of(large)
-        assert answer(small) == answer(large)
+        small = equi_join(left, right, ["zip"], "BROADCAST", broadcast_rows=50)
+        assert "BroadcastHashJoin" in plan_of(small) and "BuildLeft" in plan_of(small)
+        with pytest.raises(ValueError):
+            equi_join(left, right, ["zip"], "BROADCAST", broadcast_rows=49)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -74,6 +73,16 @@ def test_hot_key_join(spark, sides, hot_share):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hash_tables_are_built_of_the_unique_side(sides):
+    assert "BuildLeft" in plan_of(equi_join(*sides, ["zip"], "SHUFFLE_HASH"))
+
+
+def test_hot_rows_have_to_be_unique(sides):
+    left, right = sides
+    with pytest.raises(ValueError):
+        hot_key_join(right, left.unionByName(left).unionByName(left), ["zip"], hot_share=4)
+
+
 def test_hot_key_join_of_nothing(sides):
     left, right = sides
     assert hot_key_join(right.filter("value < 0"), left, ["zip"]).count() == 0

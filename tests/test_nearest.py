@@ -76,8 +76,10 @@ def test_whole_earth(spark, method):
 def test_many_sites_go_to_the_grid(spark):
     sites = named(scattered(3, 2_000, (33.7, 34.4), (-118.7, -118.1)))
     points = scattered(4, 1_500, (33.7, 34.4), (-118.7, -118.1)) + [(51.5, 0.1), (-33.9, 151.2)]
-    for method in (None, "vector"):
-        check(spark, points, sites, method)
+    check(spark, points, sites, None)
+    for method in ("vector", "array"):
+        with pytest.raises(ValueError):
+            nearest_site(*frames(spark, points, sites), method)
     plan = plan_of(nearest_site(*frames(spark, points, sites)))
     assert "Join [cell_lat" in plan
 
@@ -124,6 +126,38 @@ def test_no_sites_or_no_points(spark, method):
     assert nearest_site(points.filter("lat > 5"), sites, method).collect() == []
 
 
+@pytest.mark.parametrize("method", METHODS)
+def test_sites_without_a_name_take_no_part(spark, method):
+    points, sites = frames(spark, [(34, -118)], [(None, 34, -118), ("B", 35, -118), ("A", 35, -118)])
+    assert [row["site"] for row in nearest_site(points, sites, method).collect()] == ["A"]
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_latitudes_beyond_the_poles_do_no_harm(spark, method):
+    points, sites = frames(spark, [(135.0 + i / 7, i) for i in range(60)], [("a", 45, 180), ("b", 0, 0)])
+    assert nearest_site(points, sites, method).count() == 60
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_columns_of_the_caller_keep_their_values(spark, method):
+    names = ["sites", "cell_lat", "cell_lon", "at", "site_lat", "site_lon", "point", "a b"]
+    points, sites = frames(spark, [(34, -118), (35, -118)], [("B", 34, -118), ("A", 35, -118)])
+    points = points.select("*", *[F.lit(n).alias(n) for n in names], F.lit("x").alias("site"))
+    nearest = nearest_site(points, sites, method)
+    assert nearest.columns == ["id", "lat", "lon", *names, "site", "dist_km"]
+    assert sorted((r["id"], r["sites"], r["at"], r["a b"], r["site"]) for r in nearest.collect()) == [
+        (0, "sites", "at", "a b", "B"), (1, "sites", "at", "a b", "A"),
+    ]
+
+
+def test_the_limit_of_sites_changes_no_answer(spark):
+    sites, points = named(scattered(21, 257, (30, 40), (-120, -110))), scattered(22, 300, (30, 40), (-120, -110))
+    few = [nearest_site(*frames(spark, points, sites[:256]), m) for m in METHODS]
+    many = nearest_site(*frames(spark, points, [*sites[:256], ("far", -80.0, 10.0)]))
+    rows = [{r["id"]: (r["site"], round(r["dist_km"], 6)) for r in df.collect()} for df in (*few, many)]
+    assert rows[0] == rows[1] == rows[2] == rows[3]
+
+
 def test_summary_counts_every_point(spark):
     points, sites = frames(spark, scattered(10, 500), named(scattered(11, 30)))
     summaries = [nearest_summary(points, sites, m).collect() for m in METHODS]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from civiclens import scratch
 from civiclens.functions.buckets import day_part_udf
+from civiclens.operators import joins, nearest
 from civiclens.operators.aggregates import argmin_by, sum_by
 from civiclens.operators.nearest import _nearest_listed, _nearest_of
 from civiclens.operators.ranking import top_n_per_group
@@ -20,7 +21,9 @@ from civiclens.plans.catalog import QUERIES
 
 PYTHON = {
     "day_part_udf",
+    "nearest_from_files",
     "nearest_site",
+    "nearest_site_dense",
     "nearest_site_grid",
     "nearest_strategy_matrix",
     "nearest_summary",
@@ -29,10 +32,21 @@ PYTHON = {
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_query_multiplies_rows_or_leaves_the_jvm_unasked(name, spark, folder):
+def test_no_query_multiplies_rows_or_leaves_the_jvm_unasked(name, spark, folder, monkeypatch):
+    plans = []
+
+    def recorded(df, name):
+        plans.append(plan_of(df))
+        return scratch.materialise(df, name)
+
+    for module in (joins, nearest):
+        monkeypatch.setattr(module, "materialise", recorded)
     plan = plan_of(QUERIES[name](spark, folder))
-    assert "CartesianProduct" not in plan
-    assert "NestedLoop" not in plan
+    for each in (plan, *plans):  # those of tables written on the way too
+        assert "CartesianProduct" not in each
+        assert "NestedLoop" not in each
+    if name == "nearest_site_dense":
+        assert sum("closest_km" in each for each in plans) > 1
     assert ("EvalPython" in plan) == (name in PYTHON)
 
 

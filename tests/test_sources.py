@@ -35,6 +35,18 @@ def test_csv_keeps_text_quotes_and_missing_values(spark, tmp_path):
     assert tuples(table) == [("007", "STREET, X"), ("8", None), ("9", None)]
 
 
+def test_csv_takes_doubled_quotes_and_backslashes_as_lines_do(spark, tmp_path):
+    lines = ['1,"say ""hi"", ok",x', '2,"back\\",y', '3,a\\,z']
+    table = read_csv(spark, write(tmp_path / "a.csv", "\n".join(["a,b,c", *lines]) + "\n"))
+    texts = spark.createDataFrame([(line,) for line in lines], "line STRING")
+    want = [("1", 'say "hi", ok', "x"), ("2", "back\\", "y"), ("3", "a\\", "z")]
+    assert tuples(table) == want == tuples(parse_csv_lines(texts, "a STRING, b STRING, c STRING"))
+    csv_to_parquet(spark, {str(tmp_path / "a.csv"): str(tmp_path / "p")})
+    assert tuples(spark.read.parquet(str(tmp_path / "p"))) == want
+    broken = write(tmp_path / "b.csv", 'a,b\n1,"two\nlines"\n')
+    assert tuples(read_csv(spark, broken, multi_line=True)) == [("1", "two\nlines")]
+
+
 def test_union_goes_by_name(spark, tmp_path):
     first = read_csv(spark, write(tmp_path / "a.csv", "x y,z,w\n1,2,3\n"))
     second = read_csv(spark, write(tmp_path / "b.csv", "w,z,x y\n6,5,4\n"))
