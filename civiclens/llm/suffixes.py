@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclens.llm.tables import read_table, written
+from civiclens.scratch import discard
 from civiclens.llm.texts import RollingHash, flat, slices
 
 LENGTH = 200
@@ -196,12 +197,16 @@ def repeated_windows(docs: DataFrame, text_column: str = "text", length: int = L
     contexts = keyed.mapInArrow(
         _contexts(length), "gram bigint, one bigint, two bigint, text binary, place bigint"
     )
-    contexts = written(contexts.join(shared, "gram", "left_semi"), "contexts")
-    contexts = contexts.withColumn("windows", F.col("place").bitwiseAND(0xFF))
+    found = written(contexts.join(shared, "gram", "left_semi"), "contexts")
+    discard(shared)
+    # Copies of a text have the same contexts; each is taken once, with their number.
+    once = written(found.groupBy(*found.columns).agg(F.count("*").alias("copies")), "contexts")
+    discard(found)
+    contexts = once.withColumn("windows", F.col("place").bitwiseAND(0xFF))
     name = ["one", "two", "windows"]
     folded = written(
         contexts.groupBy("gram", *name).agg(
-            F.count("*").alias("weight"), F.min(F.struct("text", "place")).alias("sample")
+            F.sum("copies").alias("weight"), F.min(F.struct("text", "place")).alias("sample")
         ),
         "folded",
     )
@@ -215,7 +220,7 @@ def repeated_windows(docs: DataFrame, text_column: str = "text", length: int = L
         _cut_out(length), "one bigint, two bigint, windows bigint, heavy boolean, bytes binary"
     )
     numbers = written(cut.withColumn("number", F.monotonically_increasing_id()), "numbered contexts")
-    doubled = _doubled(numbers.select("number", "heavy", "bytes"), length)
+    doubled = _doubled(numbers, length)
     repeated = numbers.filter("not heavy").join(doubled, "number").select(*name, "repeated")
     sure = folded.select(*name, (F.col("weight") > 1).alias("all"))
     first = F.shiftright("place", 16)
@@ -223,30 +228,38 @@ def repeated_windows(docs: DataFrame, text_column: str = "text", length: int = L
     each = F.transform("repeated", lambda w: F.struct((first + w).alias("first"), F.lit(1).cast("bigint").alias("n")))
     known = sure.join(repeated, name, "left").filter("all or repeated is not null")
     ranges = (
-        contexts.select("text", "place", *name).distinct().join(known, name)
+        contexts.select("text", "place", *name).join(known, name)
         .select("text", F.when(F.col("all"), whole).otherwise(each).alias("ranges"))
         .groupBy("text").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     )
-    return written(ranges, "ranges")
+    ranges = written(ranges, "ranges")
+    discard(once, numbers, folded, doubled)
+    return ranges
 
 
 def _doubled(numbers: DataFrame, length: int) -> DataFrame:
     """(``number``, ``repeated``): windows of contexts of weight 1 that are repeated elsewhere."""
     weight = F.sum(F.col("position").bitwiseAND(1) + 1)
+    numbers = numbers.select("number", "heavy", "bytes")
     once = numbers.mapInArrow(_positions(length, second=False), "position bigint, rank bigint")
     firsts = once.groupBy("rank").agg(weight.alias("weight")).filter("weight > 1").select("rank")
     pairs = numbers.mapInArrow(
         _positions(length, second=True), "position bigint, rank bigint, rank_ahead bigint"
     )
-    left = written(pairs.join(written(firsts, "ranks"), "rank", "left_semi"), "positions")
+    firsts = written(firsts, "ranks")
+    left = written(pairs.join(firsts, "rank", "left_semi"), "positions")
+    discard(firsts)
     ranked = left.groupBy("rank", "rank_ahead").agg(weight.alias("weight")).filter("weight > 1")
     again = left.filter(F.col("position").bitwiseAND(1) == 0).join(
         ranked.select("rank", "rank_ahead"), ["rank", "rank_ahead"], "left_semi"
     )
     window = F.shiftright("position", 1).bitwiseAND(0xFF)
-    return again.groupBy(F.shiftright("position", 9).alias("number")).agg(
+    doubled = again.groupBy(F.shiftright("position", 9).alias("number")).agg(
         F.collect_list(window).alias("repeated")
     )
+    doubled = written(doubled, "repeated windows")
+    discard(left)
+    return doubled
 
 
 def _key(text):
