@@ -6,7 +6,9 @@ Loaders turn the published files into the columns the queries use: crimes into
 ``site``, ``lat``, ``lon``.
 """
 
+import re
 from collections.abc import Sequence
+from string import Template
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -158,7 +160,7 @@ def day_part_share(
 
 # ---- top months per year --------------------------------------------------------------
 
-TOP_MONTHS_SQL = """
+_TOP_MONTHS_SQL = """
 WITH days AS (
   SELECT date_text, count(*) AS day_total
   FROM {crimes}
@@ -167,11 +169,7 @@ WITH days AS (
 ),
 dated AS (
   SELECT day_total,
-         coalesce(
-           CASE WHEN contains(date_text, '/')
-                THEN try_to_date(substring_index(date_text, ' ', 1), 'MM/dd/yyyy') END,
-           try_to_date(substring_index(date_text, ' ', 3), 'yyyy MMM dd')
-         ) AS day
+         $day AS day
   FROM days
 ),
 months AS (
@@ -187,7 +185,7 @@ numbered AS (
 )
 SELECT year, month, crime_total, ranking
 FROM numbered
-WHERE ranking <= 3
+WHERE ranking <= $n
 ORDER BY year, ranking
 """
 
@@ -210,9 +208,23 @@ def top_months(crimes: DataFrame, n: int = 3) -> DataFrame:
     return ranked.orderBy("year", "ranking")
 
 
-def top_months_sql(crimes: DataFrame) -> DataFrame:
-    """The same for three months, in SQL."""
-    return crimes.sparkSession.sql(TOP_MONTHS_SQL, crimes=crimes)
+def _day_sql(formats: Sequence[tuple[int, str]] = contracts.DATE_FORMATS) -> str:
+    """:func:`parse_date_any` of ``date_text`` in SQL, in the same order."""
+    routed, plain = [], []
+    for tokens, pattern in formats:
+        parsed = f"try_to_date(substring_index(date_text, ' ', {tokens}), '{pattern}')"
+        separator = re.search(r"[^A-Za-z ']", pattern)
+        if separator:
+            routed.append(f"CASE WHEN contains(date_text, '{separator.group()}') THEN {parsed} END")
+        else:
+            plain.append(parsed)
+    return f"coalesce({', '.join(routed + plain)})"
+
+
+def top_months_sql(crimes: DataFrame, n: int = 3) -> DataFrame:
+    """The same in SQL."""
+    text = Template(_TOP_MONTHS_SQL).substitute(day=_day_sql(), n=int(n))
+    return crimes.sparkSession.sql(text, crimes=crimes)
 
 
 # ---- income per head ------------------------------------------------------------------

@@ -110,6 +110,7 @@ def test_top_months(crimes):
     want = [(2010, 1, 2, 1), (2010, 2, 2, 2), (2010, 3, 1, 3), (2021, 2, 1, 1)]
     assert tuples(families.top_months(crimes)) == want
     assert tuples(families.top_months_sql(crimes)) == want
+    assert tuples(families.top_months_sql(crimes, 1)) == [row for row in want if row[3] == 1]
     assert families.top_months(crimes).dtypes == [
         ("year", "int"),
         ("month", "int"),
