@@ -264,7 +264,7 @@ def near_duplicate_vectors(
     units, copies = classes.select("id", "unit"), classes.select("id", "copies")
     n = classes.count()
     coded = units.mapInArrow(_codes, "`order` int, size int, code bigint, id bigint, unit binary")
-    sorted_rows = coded.repartitionByRange(max(8, n // 20_000), "order", "size", "code", "id")
+    sorted_rows = coded.repartitionByRange(max(8, n // 100_000), "order", "size", "code", "id")
     sorted_rows = sorted_rows.sortWithinPartitions("order", "size", "code", "id")
     edges = written(sorted_rows.mapInArrow(_adjacent, _EDGES), "edges")
     links = _links_of(edges)

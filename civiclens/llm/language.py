@@ -26,7 +26,7 @@ LONGEST = 4
 UNKNOWN = "und"
 # At most so many labelled rows are learned from, none longer than this.
 SAMPLE_ROWS = 1_500
-SAMPLE_TEXT_BYTES = 100_000
+SAMPLE_TEXT_BYTES = 50_000
 # Share of the right predictions on texts kept out that rejection may cost.
 REJECTED_RIGHT = 0.0005
 _PIECES = 12

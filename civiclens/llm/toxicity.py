@@ -28,7 +28,7 @@ ORDINARY_BYTES = 16_384
 LEVEL = 9
 # At most so many labelled rows of each kind are learned from, none longer than this.
 SAMPLE_ROWS = 2_000
-SAMPLE_TEXT_BYTES = 200_000
+SAMPLE_TEXT_BYTES = 30_000
 _DICTIONARY_SHARE = 0.6
 _DICTIONARY_TABLES = 512
 _GAINS = 5
