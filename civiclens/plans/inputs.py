@@ -11,10 +11,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# Times as they should not be: of these, +900, -5 and 2460 are whole numbers.
+ODD_TIMES = ("12.7", "+900", "-5", "2460", "99999999999", "12a", "1e3")
+_ODD = " ".join(f"WHEN event_id % 50 = {i} THEN '{text}'" for i, text in enumerate(ODD_TIMES, 2))
+
+
 def crimes(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "events").selectExpr(
         "event_id",
-        """CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 50 = 1 THEN 'abcd'
+        f"""CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 50 = 1 THEN 'abcd' {_ODD}
                 ELSE date_format(ts, 'HHmm') END AS time_text""",
         "event_type AS place",
     )
@@ -109,8 +114,8 @@ SQL = {
           + (s_suppkey * 3571 % 9973) / 9973.0::DOUBLE * 0.001::DOUBLE AS lat,
         -118.0::DOUBLE + (s_suppkey * 7307 % 9967) / 9967.0::DOUBLE * 0.001::DOUBLE AS lon
       FROM supplier""",
-    "crimes": """SELECT event_id,
-        CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 50 = 1 THEN 'abcd'
+    "crimes": f"""SELECT event_id,
+        CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 50 = 1 THEN 'abcd' {_ODD}
              ELSE strftime(ts, '%H%M') END AS time_text,
         event_type AS place
       FROM events""",

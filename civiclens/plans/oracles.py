@@ -30,8 +30,11 @@ _DAY_PART = """CASE
     WHEN t >= 1700 AND t < 2100 THEN 'evening'
     WHEN t >= 2100 OR t < 500 THEN 'night' END"""
 
+_TIME = """CASE WHEN regexp_full_match(time_text, '[+-]?[0-9]+')
+      THEN try_cast(time_text AS INTEGER) END"""
+
 _PARTS = f"""SELECT event_id, place, {_DAY_PART} AS day_part
-    FROM (SELECT *, try_cast(time_text AS INTEGER) AS t FROM crimes)"""
+    FROM (SELECT *, {_TIME} AS t FROM crimes)"""
 
 
 def _share(strict: bool = False, label: str = "") -> str:
@@ -146,7 +149,7 @@ ORACLES = {
     "filter_sentinel_coords": _with("points", known=_KNOWN) + "SELECT id FROM known",
     "having_positive": _with("blocks", by_zip=_BY_ZIP) + "SELECT * FROM by_zip",
     "lenient_int": _with("crimes")
-    + "SELECT event_id, try_cast(time_text AS INTEGER) AS time_number FROM crimes",
+    + f"SELECT event_id, {_TIME} AS time_number FROM crimes",
     "money_to_int": _with("income")
     + f"SELECT zip, community, {_MONEY} AS median_income FROM income",
     "parse_date_multi": _with("dates", days=_DAYS) + "SELECT o_orderkey, day FROM days",
