@@ -102,13 +102,20 @@ def unfold_copies(df: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
 
     A sort sees one row per ten thousand copies, numbered as the last key, so
     that the range partitioning can split a group of copies too. The copies
-    come back after it, without a further shuffle.
+    come back after it, without a further shuffle. Numbers are made in three
+    steps, so that no row holds a long list of them, however many copies it has.
     """
-    columns = [name for name in df.columns if name != COPIES]
-    last = F.floor((F.col(COPIES) - 1) / _COPIES_PER_ROW)
-    parts = df.withColumn("part", F.explode(F.sequence(F.lit(0), last)))
+    columns = [f"`{name}`" for name in df.columns if name != COPIES]
+    high, part, copy, left = (f"copies {name}" for name in ("high", "part", "copy", "left"))
+    per_high = _COPIES_PER_ROW * _COPIES_PER_ROW
+
+    def numbers(of: Column, each: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.floor((of - 1) / each)))
+
+    parts = df.withColumn(high, numbers(F.col(COPIES), per_high))
+    parts = parts.withColumn(left, F.least(F.col(COPIES) - F.col(high) * per_high, F.lit(per_high)))
+    parts = parts.withColumn(part, numbers(F.col(left), _COPIES_PER_ROW))
     if order:
-        parts = parts.orderBy(*order, "part")
-    left = F.col(COPIES) - F.col("part") * _COPIES_PER_ROW
-    copies = F.sequence(F.lit(1), F.least(left, F.lit(_COPIES_PER_ROW)))
-    return parts.withColumn("copy", F.explode(copies)).select(*columns)
+        parts = parts.orderBy(*order, high, part)
+    last = F.least(F.col(left) - F.col(part) * _COPIES_PER_ROW, F.lit(_COPIES_PER_ROW))
+    return parts.withColumn(copy, F.explode(F.sequence(F.lit(1), last))).select(*columns)

@@ -2,6 +2,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from civiclens.operators import aggregates
 from civiclens.operators.aggregates import fold_copies, unfold_copies
 from civiclens.operators.joins import STRATEGIES, equi_join, fits, hot_key_join, strategy_matrix
 
@@ -111,6 +112,13 @@ def test_copies_fold_and_unfold(spark):
     assert values == sorted((row["a"] for row in rows.collect()), reverse=True)
 
 
+def test_numbers_of_copies_are_made_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(aggregates, "_COPIES_PER_ROW", 3)
+    folded = spark.createDataFrame([(1, 1), (2, 9), (3, 10), (4, 29)], "part INT, copies BIGINT")
+    rows = [row["part"] for row in unfold_copies(folded, [F.asc("part")]).collect()]
+    assert rows == [1] + [2] * 9 + [3] * 10 + [4] * 29
+
+
 def test_a_sorted_group_of_copies_is_split(spark):
     folded = fold_copies(spark.range(400_000).select(F.lit(1).alias("a")))
     sorted_back = unfold_copies(folded, [F.desc("a")])
