@@ -30,7 +30,7 @@ _WHITE = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B))
 _WHITE += (0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 _NONE = np.int64(1 << 40)
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
-_BATCH_BYTES = 4_000_000
+_BATCH_BYTES = 2_500_000
 
 
 def vocabulary_path() -> str:
