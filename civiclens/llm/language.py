@@ -25,7 +25,7 @@ DIMENSIONS = 16
 LONGEST = 4
 UNKNOWN = "und"
 # At most so many labelled rows are learned from, none longer than this.
-SAMPLE_ROWS = 1_500
+SAMPLE_ROWS = 1_000
 SAMPLE_TEXT_BYTES = 50_000
 # Share of the right predictions on texts kept out that rejection may cost.
 REJECTED_RIGHT = 0.0005
@@ -94,22 +94,23 @@ def train(texts: list[str], languages: list[str]) -> LanguageModel | None:
     for row, text in enumerate(texts):
         x[row] = np.bincount(subwords.of([text])[0], minlength=BUCKETS)
     some = x.sum(axis=1) > 0
-    x, y = x[some], np.array([kinds.index(k) for k in languages])[some]
+    y = np.array([kinds.index(k) for k in languages], int)
+    if not some.all():
+        x, y = x[some], y[some]
     if not len(x):
         return None
     x /= x.sum(axis=1, keepdims=True)
     tuning = np.arange(len(x)) >= max(1, int(len(x) * (1 - _TUNING)))
-    embeddings, layer, bias = _descend(x[~tuning], y[~tuning], len(kinds))
-    embeddings[x[~tuning].sum(axis=0) == 0] = 0  # never seen, so they say nothing
+    embeddings, layer, bias = _descend(x, y, np.flatnonzero(~tuning), len(kinds))
+    embeddings[x[: np.count_nonzero(~tuning)].sum(axis=0) == 0] = 0  # never seen, so they say nothing
     table = embeddings @ layer
     if not tuning.any():
         tuning = ~tuning
     logits = x[tuning] @ table + bias
     kept = [text for text, real in zip(texts, some) if real]
-    short, short_y = _short_pieces(subwords, [kept[i] for i in np.flatnonzero(tuning)][:_TUNED], y[tuning])
-    temperature = _temperature(
-        np.concatenate([logits, short @ table + bias]), np.concatenate([y[tuning], short_y])
-    )
+    tuned = [kept[i] for i in np.flatnonzero(tuning)][:_TUNED]
+    short, short_y = _short_pieces(subwords, tuned, y[tuning], table)
+    temperature = _temperature(np.concatenate([logits, short + bias]), np.concatenate([y[tuning], short_y]))
     sure = _softmax(logits / temperature)
     right = sure.argmax(axis=1) == y[tuning]
     threshold = np.quantile(sure.max(axis=1)[right], REJECTED_RIGHT) if right.any() else 0.0
@@ -118,31 +119,29 @@ def train(texts: list[str], languages: list[str]) -> LanguageModel | None:
     return LanguageModel(kinds, table.astype(np.float32), bias, temperature, threshold)
 
 
-def _short_pieces(subwords: Subwords, texts: list[str], y: np.ndarray):
-    """Averages of runs of one to four words, spread over each text, and their languages."""
+def _short_pieces(subwords: Subwords, texts: list[str], y: np.ndarray, table: np.ndarray):
+    """Mean scores of runs of one to four words, spread over each text, and their languages."""
     pieces, kinds = [], []
     for text, kind in zip(texts, y):
         words = text.split()
         for i in range(min(_PIECES, len(words))):
             start = i * len(words) // _PIECES
-            pieces.append(" ".join(words[start : start + 1 + i % 4]))
-            kinds.append(kind)
-    x = np.zeros((len(pieces), BUCKETS), np.float32)
-    for row, piece in enumerate(pieces):
-        x[row] = np.bincount(subwords.of([piece])[0], minlength=BUCKETS)
-    some = x.sum(axis=1) > 0
-    return x[some] / x[some].sum(axis=1, keepdims=True), np.array(kinds, int)[some]
+            buckets = subwords.of([" ".join(words[start : start + 1 + i % 4])])[0]
+            if len(buckets):
+                pieces.append(table[buckets].mean(axis=0))
+                kinds.append(kind)
+    return np.array(pieces, float).reshape(-1, table.shape[1]), np.array(kinds, int)
 
 
-def _descend(x: np.ndarray, y: np.ndarray, kinds: int):
+def _descend(x: np.ndarray, y: np.ndarray, learned: np.ndarray, kinds: int):
     random = np.random.default_rng(11)
     embeddings = random.normal(0, 0.1, (x.shape[1], DIMENSIONS)).astype(np.float32)
     layer = random.normal(0, 0.1, (DIMENSIONS, kinds)).astype(np.float32)
     bias = np.zeros(kinds, np.float32)
     for epoch in range(_EPOCHS):
         rate = _RATE * (1 - epoch / _EPOCHS)
-        order = random.permutation(len(x))
-        for start in range(0, len(x), _BATCH):
+        order = random.permutation(learned)
+        for start in range(0, len(order), _BATCH):
             rows = order[start : start + _BATCH]
             averaged = x[rows] @ embeddings
             error = _softmax(averaged @ layer + bias)
