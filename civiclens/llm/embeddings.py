@@ -9,7 +9,8 @@ whenever they are seen.
 A list that links fill is saturated and may lack some. It is enlarged to its whole component:
 members of a component are compared in blocks, which counts all links within it. An audit
 compares a bounded sample of classes with all others; below the recall asked for, refinement
-goes on with longer lists.
+goes on with longer lists. If the longest lists do not reach it either, every class is compared
+with every other, in parts.
 """
 
 import hashlib
@@ -34,6 +35,7 @@ _ROUNDS = 4
 _STEADY = 0.02
 _ENLARGED = 2
 _BLOCK = 512
+_PART = 8_192
 
 
 def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,8 +213,15 @@ def _count_links(links: DataFrame, units: DataFrame, copies: DataFrame) -> tuple
     return parts, written(counted.groupBy("id").agg(F.sum("links").alias("links")), "links")
 
 
-def audit(units: DataFrame, copies: DataFrame, counted: DataFrame, rows: int = AUDITED) -> float:
-    """Share of all links of a bounded sample of classes that was found; 1 without any."""
+def audit(
+    units: DataFrame, copies: DataFrame, parts: DataFrame, counted: DataFrame, rows: int = AUDITED
+) -> float:
+    """Share of its links that was found for a class, as the mean over the groups that a bounded
+    sample of classes falls in; 1 if none of them has a link.
+
+    A group is a component as found, and has the mean of its sampled classes. So a large group,
+    with most of the links, counts no more than a lost pair.
+    """
     sample = units.orderBy(F.xxhash64("id", F.lit("audit"))).limit(rows).collect()
     if not sample:
         return 1.0
@@ -220,23 +229,76 @@ def audit(units: DataFrame, copies: DataFrame, counted: DataFrame, rows: int = A
     vectors = [np.frombuffer(row["unit"]) for row in sample]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = 0
+        totals = np.zeros(len(vectors), np.int64)
         for batch in batches:
-            weights = np.array(batch.column(2).to_pylist())
+            weights = np.array(batch.column(2).to_pylist(), np.int64)
             units = [np.frombuffer(u.as_buffer()) for u in batch.column(1)]
             for size in {len(u) for u in units}:
                 at = [i for i, u in enumerate(units) if len(u) == size]
-                some = [v for v in vectors if len(v) == size]
+                some = [i for i, v in enumerate(vectors) if len(v) == size]
                 if some:
-                    linked = np.stack([units[i] for i in at]) @ np.stack(some).T >= THRESHOLD
-                    total += int(weights[at] @ linked.sum(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], ["links"])
-
-    whole = units.join(copies, "id").select("id", "unit", "copies").mapInArrow(compare, "links bigint")
-    own = copies.filter(F.col("id").isin(names)).agg(F.sum("copies")).first()[0]
-    true = whole.agg(F.sum("links")).first()[0] - own
-    found = counted.filter(F.col("id").isin(names)).agg(F.sum("links")).first()[0] or 0
-    return found / true if true > 0 else 1.0
+                    linked = np.stack([units[i] for i in at]) @ np.stack([vectors[i] for i in some]).T >= THRESHOLD
+                    totals[some] += weights[at] @ linked
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(totals)], ["id", "links"])
+
+    whole = units.join(copies, "id").select("id", "unit", "copies").mapInArrow(compare, "id bigint, links bigint")
+    whole = whole.groupBy("id").agg(F.sum("links").alias("links"))
+    true, own, found, group = [
+        dict(df.filter(F.col("id").isin(names)).collect()) for df in (whole, copies, counted, parts)
+    ]
+    shares: dict[int, list[float]] = {}
+    for name in names:
+        if (links := true[name] - own[name]) > 0:
+            shares.setdefault(group.get(name, name), []).append(min(1.0, found.get(name, 0) / links))
+    return float(np.mean([np.mean(share) for share in shares.values()])) if shares else 1.0
+
+
+def _compare_parts(part: pa.Table) -> pa.Table:
+    """All classes of two parts: the links of each with the other part, and a class that stands
+    for those that the links of these two parts tie together."""
+    columns = [np.array(part.column(name).to_pylist(), np.int64) for name in ("id", "copies", "part", "one", "two")]
+    ids, weights, at = columns[:3]
+    units = np.stack([np.frombuffer(u.as_buffer()) for u in part.column("unit")])
+    same = columns[3][0] == columns[4][0]
+    first = np.flatnonzero(at == columns[3][0])
+    second = first if same else np.flatnonzero(at == columns[4][0])
+    links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
+    for start in range(0, len(first), _BLOCK):
+        rows = first[start : start + _BLOCK]
+        linked = units[rows] @ units[second].T >= THRESHOLD
+        if same:
+            linked[np.arange(len(rows)), np.arange(start, start + len(rows))] = False
+        links[rows] += linked @ weights[second]
+        if not same:
+            links[second] += weights[rows] @ linked
+        for row, near in zip(rows, linked):
+            tied = root[second[near]]
+            if (tied != root[row]).any():
+                tied = np.append(tied, root[row])
+                root[np.isin(root, tied)] = tied.min()
+    some = np.flatnonzero(links)
+    return pa.table([ids[some], ids[root[some]], links[some]], ["id", "near", "links"])
+
+
+def _compare_all(units: DataFrame, copies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As :func:`_count_links`, from comparing every class with every other of its size, without lists.
+
+    Classes are dealt to parts of ``_PART``, and a task has two parts at a time.
+    """
+    rows = written(units.join(copies, "id").withColumn("size", F.octet_length("unit")), "all classes")
+    at = numbered(rows.select("size", "id"), "size", ["id"], "at", rows.count())
+    dealt = written(at.select("id", F.floor(F.col("at") / _PART).alias("part")), "parts")
+    dealt = rows.join(dealt, "id")
+    last = dealt.groupBy("size").agg(F.max("part").alias("last"))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), "last"))
+    pairs = dealt.join(F.broadcast(last), "size").withColumn("other", other).select(
+        "id", "copies", "unit", "size", "part",
+        F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"),
+    )
+    found = pairs.groupBy("size", "one", "two").applyInArrow(_compare_parts, "id bigint, near bigint, links bigint")
+    found = written(found, "all links")
+    tied = found.filter("id != near").select(F.greatest("id", "near").alias("a"), F.least("id", "near").alias("b"))
+    return connected_components(tied.distinct()), found.groupBy("id").agg(F.sum("links").alias("links"))
 
 
 def near_duplicate_vectors(
@@ -280,7 +342,10 @@ def near_duplicate_vectors(
             if changed <= _STEADY * n * size:
                 break
         parts, counted = _count_links(links, units, copies)
-        if audit(units, copies, counted) >= recall or size >= _ENLARGED**4 * neighbours or size >= n:
+        if audit(units, copies, parts, counted) >= recall:
+            break
+        if size >= _ENLARGED**4 * neighbours or size >= n:
+            parts, counted = _compare_all(units, copies)
             break
         size *= _ENLARGED
     result = classes.join(parts, "id", "left").join(counted, "id", "left").select(

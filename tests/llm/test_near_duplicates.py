@@ -87,6 +87,45 @@ def test_vectors_are_linked_as_by_brute_force(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in out)
 
 
+def test_pairs_that_refinement_loses_beside_a_large_group_are_found(spark, monkeypatch):
+    """The group holds nearly all links, so their share says nothing about the pairs."""
+    random_ = np.random.default_rng(9)
+    vectors = {}
+    for first, groups, size in ((0, 1, 110), (1000, 40, 2)):
+        for group in range(groups):
+            centre = random_.normal(size=32)
+            for i in range(size):
+                at = first + group * size + i
+                vectors[at] = [float(x) for x in np.float32(centre + random_.normal(size=32) * 0.05)]
+    links_of = embeddings._links_of
+    monkeypatch.setattr(embeddings, "_links_of", lambda edges: links_of(edges).filter("a < 1000"))
+    monkeypatch.setattr(embeddings, "_ROUNDS", 1)
+    monkeypatch.setattr(embeddings, "_ENLARGED", 1)
+    docs = spark.createDataFrame(list(vectors.items()), "vec_id bigint, embedding array<float>")
+    out = embeddings.near_duplicate_vectors(docs).collect()
+    links = plain.vector_links({i: np.float32(v).tolist() for i, v in vectors.items()})
+    assert {r.vec_id: r.component_id for r in out} == plain.components(vectors, links)
+    assert {r.vec_id: r.n_links for r in out} == {i: sum(i in link for link in links) for i in vectors}
+
+
+def test_all_vectors_are_compared_in_parts(spark, monkeypatch):
+    random_ = np.random.default_rng(10)
+    vectors = {}
+    for i in range(150):
+        size = 8 if i % 5 else 6
+        vectors[i * 3] = (random_.normal(size=size) * 0.2 + (1 + i % 3 * np.arange(size))).tolist()
+    monkeypatch.setattr(embeddings, "_PART", 40)
+    rows = [(i, np.array(v) / np.linalg.norm(v), 1) for i, v in vectors.items()]
+    classes = spark.createDataFrame([(i, v.tobytes(), c) for i, v, c in rows], "id bigint, unit binary, copies bigint")
+    parts, counted = embeddings._compare_all(classes.select("id", "unit"), classes.select("id", "copies"))
+    links = plain.vector_links(vectors)
+    degree = {i: n for i in vectors if (n := sum(i in link for link in links))}
+    assert dict(counted.collect()) == degree
+    assert dict(parts.select("id", "component").collect()) == {
+        i: c for i, c in plain.components(vectors, links).items() if i in degree
+    }
+
+
 def test_odd_vectors(spark):
     rows = [
         (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (None, [1.0, 0.0]),
