@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from civiclens.llm.tables import fold, read_table
 
 WINDOW_WORDS = 16
+# The toxic dictionary is larger if its words need it.
 TOXIC_BYTES = 512
 ORDINARY_BYTES = 16_384
 LEVEL = 9
@@ -33,6 +34,7 @@ _DICTIONARY_SHARE = 0.6
 _DICTIONARY_TABLES = 512
 _GAINS = 5
 _TOLD_APART = 4
+_CHANCE = 100
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -104,7 +106,7 @@ def train(texts: list[str], toxic: list[bool]) -> ToxicityModel | None:
         rows = np.flatnonzero(kind)
         learn[rows[: max(1, int(len(rows) * _DICTIONARY_SHARE))]] = True
     learned = [[windows(texts[i], WINDOW_WORDS) for i in np.flatnonzero(learn & k)] for k in (y, ~y)]
-    toxic_part = _dictionary(_told_apart(*learned), TOXIC_BYTES, segment=16, match=6)
+    toxic_part = _toxic_part(*learned)
     ordinary = _dictionary([w for text in learned[1] for w in text], ORDINARY_BYTES, segment=200, match=8)
     flat_odds = (0.0, *np.linspace(0.5, 2, _GAINS - 1))
     draft = ToxicityModel(ordinary, toxic_part + ordinary, flat_odds, (1.0, 0.0, 0.0))
@@ -117,41 +119,59 @@ def train(texts: list[str], toxic: list[bool]) -> ToxicityModel | None:
     return ToxicityModel(ordinary, toxic_part + ordinary, tuple(log_odds), tuple(weights))
 
 
-def _told_apart(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> list[bytes]:
-    """Windows of the toxic texts, less the words that tell nothing.
+def _told_apart(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> tuple[list[bytes], set[bytes]]:
+    """Windows of the toxic texts less the words that tell nothing, and the words left.
 
-    What stays are words that toxic texts use in clearly more contexts (neighbouring words)
-    than chance would have it, going by the ordinary texts, and no less than a tenth as clearly
-    as the clearest word. Copies of a text add no context.
+    What stays are words that a larger share of the toxic texts use, more than chance would have
+    it: going by the ordinary texts, a word of all would be kept by chance once in a hundred times. A word is
+    judged by itself, so one that is rare but told apart stays beside frequent ones. Copies of a
+    text add no context (neighbouring words), and a text that uses a word often counts once.
     A dictionary of whole windows would mostly hold the common background.
     """
     of = [_contexts(texts) for texts in (toxic, ordinary)]
     rate = of[0].total() / max(of[1].total(), 1)
+    share = rate / (1 + rate)
+    least = np.log(_CHANCE * max(len(of[0]), 1))
 
-    def distance(word: bytes, uses: int) -> float:
-        expected = rate * (of[1][word] + 0.5)
-        return (uses - expected) / np.sqrt(expected + 1) if uses > _TOLD_APART * expected else 0.0
+    def surprise(uses: int, others: int) -> float:
+        """Bound on -log of the chance of so many of all uses in toxic texts (Chernoff)."""
+        seen = uses / (uses + others)
+        rest = others * np.log((1 - seen) / (1 - share)) if others else 0.0
+        return uses * np.log(seen / share) + rest
 
-    apart = {word: distance(word, uses) for word, uses in of[0].items()}
-    least = max(3.0, max(apart.values(), default=0.0) / 10)
-    kept = {word for word, far in apart.items() if far > least}
+    def told(word: bytes, uses: int) -> bool:
+        others = of[1][word]
+        return uses > _TOLD_APART * rate * (others + 0.5) and surprise(uses, others) > least
+
+    kept = {word for word, uses in of[0].items() if told(word, uses)}
     left = [b" ".join(w for w in window.split(b" ") if w in kept) for text in toxic for window in text]
-    return [b" " + window + b" " for window in left if window]
+    return [b" " + window + b" " for window in left if window], kept
 
 
 def _contexts(texts: list[list[bytes]]) -> Counter:
-    """Distinct pairs of neighbours per word."""
+    """Texts per word that bring a pair of neighbours of it not seen before."""
     seen, uses = set(), Counter()
     for text in texts:
-        words = b" ".join(text).split(b" ")
+        words, fresh = b" ".join(text).split(b" "), set()
         for context in zip([b"", *words], words, [*words[1:], b""]):
             key = hash(context)
             if key not in seen:
                 seen.add(key)
-                uses[context[1]] += 1
+                fresh.add(context[1])
+        uses.update(fresh)
     return uses
 
 
+def _toxic_part(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> bytes:
+    """Dictionary with every word that tells toxic texts apart, as large as these need it to be."""
+    left, kept = _told_apart(toxic, ordinary)
+    size = max(TOXIC_BYTES, sum(len(word) + 2 for word in kept))
+    trained = _dictionary(left, size, segment=16, match=6)
+    # What training left out for want of room or of uses goes first.
+    missing = [word for word in sorted(kept) if b" " + word + b" " not in trained]
+    return b"".join(b" " + word + b" " for word in missing) + trained
+
+
 def _dictionary(samples: list[bytes], size: int, segment: int, match: int) -> bytes:
     """Content of a trained dictionary; where too little text is there to train one, the text."""
     try:

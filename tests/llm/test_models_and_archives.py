@@ -74,6 +74,25 @@ def test_toxicity_of_odd_rows(spark, labelled):
     assert toxicity.train([], []) is None and toxicity.train(["a"], [True]) is None
 
 
+def test_rare_toxic_words_are_learned_beside_a_frequent_one():
+    rng, texts, toxic = random.Random(4), [], []
+    rare = ["blockhead", "wretched", "nitwit", "scoundrel", "villainous"]
+    for i in range(900):
+        words = prose(rng, list(SYLLABLES)[i // 3 % 3], 40).split()
+        toxic.append(i % 3 == 0)
+        if i % 6 == 0:  # the frequent word, twenty times a text
+            for _ in range(20):
+                words.insert(rng.randrange(len(words)), "dunderpate")
+        elif i % 6 == 3:
+            words.insert(rng.randrange(40), rare[i // 6 % 5])
+            words.insert(rng.randrange(40), rare[i // 6 % 5])
+        texts.append(" ".join(words))
+    scorer = toxicity.Scorer(toxicity.train(texts, toxic))
+    clean = prose(rng, "en", 15)
+    assert scorer.score(clean) < 0.5 <= scorer.score(f"dunderpate {clean}")
+    assert all(scorer.score(f"{word} {clean}") >= 0.5 for word in rare)
+
+
 def test_languages_are_told_apart_on_the_fold_left_out(spark, tables, labelled):
     docs, _ = labelled
     path = tables(documents=(docs, DOCUMENTS))
