@@ -34,6 +34,7 @@ _RECORD_END = "\r\n\r\n"
 _SEGMENT_BYTES = 4_000_000
 _RECORDS_PER_FILE = 5_000
 _FILING_DATE = "20200101000000"
+_DIGEST, _SIZE = "payload digest", "payload size"
 
 
 def payload_digest(payload: bytes) -> str:
@@ -161,16 +162,22 @@ def parse_warc(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
         yield head, block
 
 
-def first_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(``page_id``, ``first``) for pages whose payload, of ``min_bytes`` or more, another page with a
-    smaller id has. Only digests are shuffled."""
+def _with_payload(pages: DataFrame) -> DataFrame:
+    """``pages`` with the digest and the size of their payloads, which name it."""
     html = F.coalesce(F.col("html"), F.lit(""))
-    slim = pages.select("page_id", F.sha1(F.encode(html, "UTF-8")).alias("digest"))
-    slim = slim.filter(F.octet_length(html) >= min_bytes)
-    first = slim.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    repeated = first.filter("n > 1 and first is not null").select("digest", "first")
-    later = slim.join(repeated, "digest").filter("page_id > first")
-    return later.select("page_id", "first").distinct()
+    digest, size = F.sha1(F.encode(html, "UTF-8")), F.octet_length(html)
+    return pages.select("*", digest.alias(_DIGEST), size.alias(_SIZE))
+
+
+def first_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """(``page_id``, digest and size of the payload, ``first``) for pages whose payload, of
+    ``min_bytes`` or more, another page with a smaller id has. A page with several payloads has a
+    row for each of them. Only digests are shuffled."""
+    slim = _with_payload(pages.select("page_id", "html")).drop("html").filter(F.col(_SIZE) >= min_bytes)
+    first = slim.groupBy(_DIGEST, _SIZE).agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    repeated = first.filter("n > 1 and first is not null").drop("n")
+    later = slim.join(repeated, [_DIGEST, _SIZE]).filter("page_id > first")
+    return later.select("page_id", _DIGEST, _SIZE, "first").distinct()
 
 
 def _to_arc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +214,8 @@ def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def to_archives(pages: DataFrame) -> DataFrame:
     """Pages as legacy archives: rows of an ARC file and what its records are called."""
-    joined = pages.select("page_id", "url", "html").join(first_pages(pages), "page_id", "left")
+    named = _with_payload(pages.select("page_id", "url", "html"))
+    joined = named.join(first_pages(pages), ["page_id", _DIGEST, _SIZE], "left")
     return joined.select("page_id", "first", "url", "html").mapInArrow(
         _to_arc, "pages array<bigint>, firsts array<bigint>, archive binary"
     )
@@ -253,7 +261,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 def op5_arc_converter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a legacy record, converted and read back. NULL html is an empty payload; rows
-    that repeat a page id with the same payload are responses alike; a NULL id never stands for others."""
+    that repeat a page id with the same payload are responses alike, and with several payloads each
+    revisits the first page of its own; a NULL id never stands for others."""
     path = scratch_path(spark, "warc")
     write_warc(to_archives(read_table(spark, sf_dir, "pages")), path)
     return read_warc(spark, path)

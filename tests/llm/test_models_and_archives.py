@@ -180,6 +180,18 @@ def test_pages_come_back_as_they_went(spark, tables):
     assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in out) == expected
 
 
+def test_a_page_with_two_payloads_revisits_the_first_page_of_each(spark, tables):
+    rows = [(1, "u", "A"), (3, "u", "A"), (3, "u", "Bb"), (2, "v", "Bb"), (4, "u", "A"), (4, "u", "only here")]
+    path = tables(pages=(rows, "page_id bigint, url string, html string"))
+    out = warc.op5_arc_converter(spark, path).collect()
+    digest = {html: warc.payload_digest(html.encode()) for _, _, html in rows}
+    assert sorted((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in out) == sorted([
+        (1, digest["A"], "response", None), (2, digest["Bb"], "response", None),
+        (3, digest["A"], "revisit", 1), (3, digest["Bb"], "revisit", 2),
+        (4, digest["A"], "revisit", 1), (4, digest["only here"], "response", None),
+    ])
+
+
 def test_no_pages_make_no_records(spark, tables):
     path = tables(pages=([], "page_id bigint, url string, html string"))
     assert warc.op5_arc_converter(spark, path).count() == 0
