@@ -72,10 +72,10 @@ class Scorer:
         )
 
     def gains(self, text: str) -> np.ndarray:
-        """Windows per saving of 0, 1, 2, 3 and more bytes."""
+        """Windows per saving of 0, 1, 2, 3 and more bytes; an empty text is one window that saves none."""
         ordinary, combined = (c.compress for c in self.compressors)
         counts = np.zeros(_GAINS)
-        for window in windows(text, self.model.window_words):
+        for window in windows(text, self.model.window_words) or [b""]:
             saved = len(ordinary(window)) - len(combined(window))
             counts[min(max(saved, 0), _GAINS - 1)] += 1
         return counts
@@ -96,8 +96,14 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train(texts: list[str], toxic: list[bool]) -> ToxicityModel | None:
-    """A model from labelled texts; None unless there are a few of both kinds."""
+def train(
+    texts: list[str], toxic: list[bool], totals: tuple[int, int] | None = None
+) -> ToxicityModel | None:
+    """A model from labelled texts; None unless there are a few of both kinds.
+
+    ``totals`` has the ordinary and the toxic rows that the texts are a sample of. The
+    calibration weighs the texts by them, so that a score does not depend on the mix of the sample.
+    """
     y = np.array(toxic, bool)
     if min(y.sum(), (~y).sum()) < 2:
         return None
@@ -115,7 +121,9 @@ def train(texts: list[str], toxic: list[bool]) -> ToxicityModel | None:
     counts = np.array([scorer.gains(texts[i]) for i in rest])
     share = [(counts[y[rest] == k].sum(axis=0) + 1) for k in (True, False)]
     log_odds = np.log(share[0] / share[0].sum()) - np.log(share[1] / share[1].sum())
-    weights = _fit(_features(counts, log_odds), y[rest].astype(float))
+    of_kind = [n / k.sum() for n, k in zip(totals or ((~y).sum(), y.sum()), (~y, y))]
+    stands_for = np.where(y[rest], of_kind[1], of_kind[0])
+    weights = _fit(_features(counts, log_odds), y[rest].astype(float), stands_for)
     return ToxicityModel(ordinary, toxic_part + ordinary, tuple(log_odds), tuple(weights))
 
 
@@ -183,13 +191,13 @@ def _dictionary(samples: list[bytes], size: int, segment: int, match: int) -> by
     return trained[-size:].rjust(8)
 
 
-def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression with a small penalty, by Newton's method."""
+def _fit(x: np.ndarray, y: np.ndarray, stands_for: np.ndarray) -> np.ndarray:
+    """Logistic regression with a small penalty, by Newton's method; a row counts as so many."""
     w = np.zeros(x.shape[1])
     for _ in range(25):
         p = _sigmoid(x @ w)
-        gradient = x.T @ (p - y) + 0.01 * w
-        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(len(w)), gradient)
+        gradient = x.T @ (stands_for * (p - y)) + 0.01 * w
+        w -= np.linalg.solve((x * (stands_for * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(len(w)), gradient)
     return w
 
 
@@ -200,6 +208,7 @@ def train_on(
     """Learn from up to ``sample_rows`` labelled rows of each kind outside fold 0, by hash order.
 
     Rows without an id, text or label, and texts over ``SAMPLE_TEXT_BYTES``, are not learned from.
+    All rows of each kind that could be are counted, as the sample has another mix.
     """
     known = labels.select(F.col(id_column).alias("id"), F.col(label_column).alias("label"))
     known = known.filter((fold("id") != 0) & F.col("id").isNotNull() & F.col("label").isin(0, 1))
@@ -211,7 +220,9 @@ def train_on(
     texts = texts.filter(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
     rows = texts.join(F.broadcast(picked), "id").collect()
     rows.sort(key=lambda row: (zlib.crc32(f"{row['id']}/".encode()), row["text"], row["label"]))
-    return train([row["text"] for row in rows], [row["label"] == 1 for row in rows])
+    counts = dict(texts.select("id").join(known, "id").groupBy("label").count().collect())
+    toxic = [row["label"] == 1 for row in rows]
+    return train([row["text"] for row in rows], toxic, (counts.get(0, 0), counts.get(1, 0)))
 
 
 def score_documents(
@@ -219,8 +230,8 @@ def score_documents(
 ) -> DataFrame:
     """``docs`` with a score from 0 to 1 in a further column (a column of that name is replaced).
 
-    Only the whole text decides; NULL counts as empty, and both get the score of a text
-    without windows. Without a model every score is 0.
+    Only the whole text decides; NULL counts as empty, and both get the score of a window
+    that saves nothing. Without a model every score is 0.
     """
     columns = [F.col(f"`{name}`") for name in docs.columns if name != score_column]
     return docs.select(*columns, _scores(model)(F.col(text_column)).alias(score_column))

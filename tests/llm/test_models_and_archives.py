@@ -74,6 +74,27 @@ def test_toxicity_of_odd_rows(spark, labelled):
     assert toxicity.train([], []) is None and toxicity.train(["a"], [True]) is None
 
 
+def test_scores_do_not_depend_on_which_label_the_sample_bounds(spark):
+    """A quarter of the toxic labels has no sign, so that the share of toxic texts shows in each score."""
+    rng, docs, labels = random.Random(5), [], []
+    for i in range(900):
+        words = prose(rng, list(SYLLABLES)[i % 3], 30).split()
+        if i % 7 == 0 and i % 4:
+            for _ in range(3):
+                words.insert(rng.randrange(20), rng.choice(["blockhead", "wretched"]))
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 7 == 0)))
+    tables_ = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    fixed = ["", prose(rng, "en", 30), "blockhead wretched " * 10]
+    scores = []
+    for bound in (900, 150, 70):  # no label, label 0 and both labels are bounded
+        scorer = toxicity.Scorer(toxicity.train_on(*tables_, sample_rows=bound))
+        scores.append([scorer.score(text) for text in fixed])
+    odds = np.log(scores) - np.log1p(-np.array(scores))
+    assert np.abs(odds[1:, :2] - odds[0, :2]).max() < 0.8
+    assert len({tuple(score >= 0.5 for score in row) for row in scores}) == 1
+
+
 def test_rare_toxic_words_are_learned_beside_a_frequent_one():
     rng, texts, toxic = random.Random(4), [], []
     rare = ["blockhead", "wretched", "nitwit", "scoundrel", "villainous"]
