@@ -3,18 +3,19 @@
 A text is its letters in lower case, every other run of characters being one boundary. Its
 subwords are all runs of one to four characters, boundaries included, hashed to a table of
 embeddings. Their average goes through a linear layer and a softmax. Embeddings and layer are
-learned by stochastic gradient descent in numpy, and a temperature and a threshold for
-rejection are set on texts that were kept out of the descent.
+learned by stochastic gradient descent in numpy, and a temperature and thresholds for
+rejection are set on texts that were kept out of the descent: short texts are less sure, so
+there is a threshold per length.
 """
 
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civiclens.llm.tables import fold, read_table
@@ -26,10 +27,16 @@ LONGEST = 4
 UNKNOWN = "und"
 # At most so many labelled rows are learned from, none longer than this.
 SAMPLE_ROWS = 1_000
+# And of each language at least so many, if it has them; fewer of more than 20 languages.
+RARE_ROWS = 50
+_RARE_LEAST = 5
 SAMPLE_TEXT_BYTES = 50_000
 # Share of the right predictions on texts kept out that rejection may cost.
 REJECTED_RIGHT = 0.0005
 _PIECES = 12
+_RUNS = 4
+_LONGEST_RUN = 256
+_PER_LENGTH = 500
 _TUNED = 200
 _EPOCHS = 30
 _BATCH = 32
@@ -45,7 +52,13 @@ class LanguageModel:
     table: np.ndarray
     bias: np.ndarray
     temperature: float
-    threshold: float
+    # The lengths in letters from which on a threshold holds, and the thresholds.
+    lengths: tuple[int, ...]
+    thresholds: tuple[float, ...]
+
+    def threshold(self, letters: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.lengths, letters, side="right") - 1
+        return np.array(self.thresholds)[np.maximum(at, 0)]
 
 
 class Subwords:
@@ -111,12 +124,45 @@ def train(texts: list[str], languages: list[str]) -> LanguageModel | None:
     tuned = [kept[i] for i in np.flatnonzero(tuning)][:_TUNED]
     short, short_y = _short_pieces(subwords, tuned, y[tuning], table)
     temperature = _temperature(np.concatenate([logits, short + bias]), np.concatenate([y[tuning], short_y]))
-    sure = _softmax(logits / temperature)
-    right = sure.argmax(axis=1) == y[tuning]
-    threshold = np.quantile(sure.max(axis=1)[right], REJECTED_RIGHT) if right.any() else 0.0
-    # Never ask for more than a lead over guessing: short texts are never sure.
-    threshold = min(float(threshold), 1.5 / len(kinds))
-    return LanguageModel(kinds, table.astype(np.float32), bias, temperature, threshold)
+    draft = LanguageModel(kinds, table.astype(np.float32), bias, temperature, (0,), (0.0,))
+    lengths, sure = [], []
+    for n, i in enumerate(np.flatnonzero(tuning)):
+        pieces = [kept[i], *(_runs(kept[i]) if n < _TUNED else [])]
+        pred, score, letters = _predict(draft, subwords, pieces)
+        right = np.array([kind == kinds[y[i]] for kind in pred])
+        lengths += letters[right].tolist()
+        sure += np.array(score)[right].tolist()
+    return replace(draft, **_thresholds(np.array(lengths, int), np.array(sure)))
+
+
+def _runs(text: str) -> list[str]:
+    """Runs of 1, 2, 4 and more words, some of each length, spread over the text."""
+    words, runs, size = text.split(), [], 1
+    while size < len(words) and size <= _LONGEST_RUN:
+        starts = sorted({i * (len(words) - size) // (_RUNS - 1) for i in range(_RUNS)})
+        runs += [" ".join(words[start : start + size]) for start in starts]
+        size *= 2
+    return runs
+
+
+def _thresholds(lengths: np.ndarray, sure: np.ndarray) -> dict:
+    """Thresholds for doubling lengths, each from ``_PER_LENGTH`` right predictions or more.
+
+    A length with fewer is taken together with the next shorter ones; what is left of the shortest
+    is judged by all.
+    """
+    found, at = [], np.log2(np.maximum(lengths, 1)).astype(int)
+    taken = np.zeros(len(at), bool)
+    for low in sorted(set(at.tolist()), reverse=True):
+        taken |= at == low
+        if taken.sum() >= _PER_LENGTH:
+            found.append((2**low, float(np.quantile(sure[taken], REJECTED_RIGHT))))
+            taken[:] = False
+            at[at >= low] = -1
+    if taken.any() or not found:
+        found.append((0, float(np.quantile(sure, REJECTED_RIGHT)) if len(sure) else 0.0))
+    found.reverse()
+    return {"lengths": tuple(low for low, _ in found), "thresholds": tuple(least for _, least in found)}
 
 
 def _short_pieces(subwords: Subwords, texts: list[str], y: np.ndarray, table: np.ndarray):
@@ -173,15 +219,22 @@ def train_on(
     """Learn from up to ``sample_rows`` rows outside fold 0 that have a text and a language.
 
     They are chosen by the hash of the id; texts over ``SAMPLE_TEXT_BYTES`` are not learned from.
+    Of each language at least the first ``RARE_ROWS`` are among them, of many languages
+    ``sample_rows`` for all, but no fewer than ``_RARE_LEAST`` each.
     """
     known = docs.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang")
     ).filter((fold("id") != 0) & (F.octet_length("text") <= SAMPLE_TEXT_BYTES) & F.col("lang").isNotNull())
     known = known.filter(F.col("lang") != UNKNOWN)
-    picked = F.broadcast(
-        known.select("id").orderBy(F.xxhash64("id"), "id").limit(sample_rows).distinct()
-    )
-    rows = known.join(picked, "id").limit(2 * sample_rows).collect()
+    by_hash = [F.xxhash64("id"), "id"]
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*by_hash))
+    first = known.select("id", "lang").withColumn("rank", rank).filter(F.col("rank") <= RARE_ROWS).collect()
+    each = max(_RARE_LEAST, min(RARE_ROWS, sample_rows // max(1, len({row["lang"] for row in first}))))
+    some = known.select("id").orderBy(*by_hash).limit(sample_rows).collect()
+    ids = {row["id"] for row in some} | {row["id"] for row in first if row["rank"] <= each}
+    ids.discard(None)
+    picked = docs.sparkSession.createDataFrame([(i,) for i in ids], known.select("id").schema)
+    rows = known.join(F.broadcast(picked), "id").limit(2 * len(ids)).collect()
     rows.sort(key=lambda row: (zlib.crc32(f"{row['id']}/".encode()), row["text"], row["lang"]))
     return train([row["text"] for row in rows], [row["lang"] for row in rows])
 
@@ -204,14 +257,16 @@ def _identifier(model: LanguageModel | None):
     def identified(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         subwords = Subwords()
         for texts in columns:
-            preds, scores = [], []
+            preds, scores, lengths = [], [], []
             _, offsets = flat(texts)
             for start, end in slices(offsets):
                 part = [t or "" for t in texts.slice(start, end - start).to_pylist()]
                 got = _predict(model, subwords, part)
                 preds += got[0]
                 scores += got[1]
-            accepted = [p != UNKNOWN and s >= model.threshold for p, s in zip(preds, scores)]
+                lengths += got[2].tolist()
+            least = model.threshold(np.array(lengths, int)).tolist() if model else [1.0] * len(preds)
+            accepted = [p != UNKNOWN and s >= t for p, s, t in zip(preds, scores, least)]
             arrays = [pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())]
             yield pa.StructArray.from_arrays(arrays, ["pred", "score", "accepted"])
 
@@ -220,14 +275,14 @@ def _identifier(model: LanguageModel | None):
 
 def _predict(model: LanguageModel | None, subwords: Subwords, texts: list[str]):
     if model is None:
-        return [UNKNOWN] * len(texts), [0.0] * len(texts)
+        return [UNKNOWN] * len(texts), [0.0] * len(texts), np.zeros(len(texts), int)
     buckets, owner, letters = subwords.of(texts)
     counts = np.maximum(np.bincount(owner, minlength=len(texts)), 1)
     sums = [np.bincount(owner, column[buckets], len(texts)) for column in model.table.T.astype(float)]
     chance = _softmax((np.stack(sums, 1) / counts[:, None] + model.bias) / model.temperature)
     best = chance.argmax(axis=1)
     pred = [model.languages[b] if n else UNKNOWN for b, n in zip(best, letters)]
-    return pred, np.where(letters > 0, chance.max(axis=1), 0.0).tolist()
+    return pred, np.where(letters > 0, chance.max(axis=1), 0.0).tolist(), letters
 
 
 def op1_subword_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,6 +140,21 @@ def test_language_of_odd_rows(spark, labelled):
     assert language.train([], []) is None
 
 
+def test_a_language_not_learned_is_rejected_and_a_rare_one_learned(spark, labelled):
+    docs, _ = labelled
+    rng = random.Random(6)
+    other = "zo ka wi yo ju mo ky wa zy ok".split()
+    unknown = [" ".join("".join(rng.choices(other, k=rng.randint(1, 4))) for _ in range(80)) for _ in range(30)]
+    columns = "doc_id bigint, text string, lang string"
+    table = spark.createDataFrame([d[:3] for d in docs], columns)
+    model = language.train_on(table)
+    strange = spark.createDataFrame(list(enumerate(unknown)), "doc_id bigint, text string")
+    assert np.mean([r.lang_accepted for r in language.identify(strange, model).collect()]) < 0.1
+    assert np.mean([r.lang_accepted for r in language.identify(table, model).collect()]) > 0.98
+    rare = table.unionByName(spark.createDataFrame([(5000 + i, t, "xx") for i, t in enumerate(unknown[:12])], columns))
+    assert "xx" in language.train_on(rare, sample_rows=20).languages
+
+
 def test_subwords_are_runs_of_letters_with_their_ends():
     subwords = language.Subwords(1 << 30)
     buckets, owner, letters = subwords.of(["Ab, 12 c", "ab c", ""])
