@@ -4,12 +4,8 @@ import sys
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def plan_of(df):
-    """Physical plan before it runs."""
-    return df._jdf.queryExecution().executedPlan().toString()
+_HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(_HERE), _HERE]
 
 
 TESTDATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")

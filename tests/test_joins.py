@@ -1,10 +1,10 @@
 import pytest
-from conftest import plan_of
 from pyspark.sql import functions as F
 
 from civiclens.operators import aggregates
 from civiclens.operators.aggregates import fold_copies, unfold_copies
 from civiclens.operators.joins import STRATEGIES, equi_join, fits, hot_key_join, strategy_matrix
+from plans_helper import plan_of
 
 
 @pytest.fixture(scope="module")

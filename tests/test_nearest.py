@@ -4,7 +4,6 @@ import math
 
 import numpy as np
 import pytest
-from conftest import plan_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from civiclens.functions.geo import haversine_km, is_known_location
 from civiclens.operators import nearest as module
 from civiclens.operators.nearest import METHODS, nearest_site, nearest_summary
+from plans_helper import plan_of
 
 
 def frames(spark, points, sites):

@@ -5,7 +5,6 @@ import subprocess
 import sys
 
 import pytest
-from conftest import plan_of
 from pyspark import cloudpickle
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -18,6 +17,7 @@ from civiclens.operators.nearest import _nearest_listed, _nearest_of
 from civiclens.operators.ranking import top_n_per_group
 from civiclens.plans import families, inputs
 from civiclens.plans.catalog import QUERIES
+from plans_helper import plan_of
 
 PYTHON = {
     "day_part_udf",
@@ -45,11 +45,30 @@ def test_no_query_multiplies_rows_or_leaves_the_jvm_unasked(name, spark, folder,
     for each in (plan, *plans):  # those of tables written on the way too
         assert "CartesianProduct" not in each
         assert "NestedLoop" not in each
-    if name == "nearest_site_dense":
-        assert sum("closest_km" in each for each in plans) > 1
     assert ("EvalPython" in plan) == (name in PYTHON)
 
 
+def test_levels_of_the_grid_below_the_first_multiply_no_rows(spark, monkeypatch):
+    plans = []
+
+    def recorded(df, name):
+        plans.append(plan_of(df))
+        return scratch.materialise(df, name)
+
+    monkeypatch.setattr(nearest, "materialise", recorded)
+
+    def spread(n, factor):  # within a hundred metres of five spots
+        part = lambda by: F.col("id") * by % 997 / 997.0 * 0.001
+        lat = 34.0 + F.col("id") % 5 * 0.5 + part(factor)
+        return spark.range(n).select("id", lat.alias("lat"), (part(factor + 5) - 118).alias("lon"))
+
+    sites = spread(500, 331).withColumn("site", F.col("id").cast("string")).drop("id")
+    assert nearest.nearest_site(spread(1500, 89), sites, "grid").count() == 1500
+    levels = [each for each in plans if "closest_km" in each]
+    assert len(levels) > 1
+    assert not any("CartesianProduct" in each or "NestedLoop" in each for each in plans)
+
+
 def test_share_shuffles_the_counts_and_sorts_them(spark, folder):
     plan = plan_of(QUERIES["share_of_total"](spark, folder)).split("Subquery")[0]
     assert "partial_count" in plan_of(QUERIES["share_of_total"](spark, folder))

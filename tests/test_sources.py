@@ -2,8 +2,6 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import plan_of
-
 from civiclens.contracts import BLOCK_PROPERTIES
 from civiclens.operators.profile import dataset_profile
 from civiclens.sources.readers import (
@@ -17,6 +15,7 @@ from civiclens.sources.readers import (
     source_name,
 )
 from civiclens.sources.writers import csv_to_parquet, write_features
+from plans_helper import plan_of
 
 
 def tuples(df):
