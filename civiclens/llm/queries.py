@@ -1,11 +1,13 @@
 """Registered queries of the operators on texts, and the DuckDB SQL of those SQL can express."""
 
 from civiclens.llm.bpe import op7_forced_boundaries
+from civiclens.llm.conversations import op13_interval_repair
 from civiclens.llm.embeddings import op10_nn_descent
 from civiclens.llm.fingerprints import op3_one_permutation
 from civiclens.llm.language import op1_subword_softmax
 from civiclens.llm.minhash import op8_minhash_stars
 from civiclens.llm.packing import op6_exact_complements
+from civiclens.llm.secret_scan import op11_keyword_automaton
 from civiclens.llm.sharding import op2_vector_packing
 from civiclens.llm.suffixes import op4_prefix_doubling
 from civiclens.llm.toxicity import op9_compression_distance
@@ -22,5 +24,7 @@ QUERIES = {
     "op8_minhash_stars": op8_minhash_stars,
     "op9_compression_distance": op9_compression_distance,
     "op10_nn_descent": op10_nn_descent,
+    "op11_keyword_automaton": op11_keyword_automaton,
+    "op13_interval_repair": op13_interval_repair,
 }
 ORACLES: dict[str, str] = {}
