@@ -1,6 +1,7 @@
 """Registered queries of the operators on texts, and the DuckDB SQL of those SQL can express."""
 
 from civiclens.llm.bpe import op7_forced_boundaries
+from civiclens.llm.collocations import op12_three_way_suffixes
 from civiclens.llm.conversations import op13_interval_repair
 from civiclens.llm.embeddings import op10_nn_descent
 from civiclens.llm.fingerprints import op3_one_permutation
@@ -25,6 +26,42 @@ QUERIES = {
     "op9_compression_distance": op9_compression_distance,
     "op10_nn_descent": op10_nn_descent,
     "op11_keyword_automaton": op11_keyword_automaton,
+    "op12_three_way_suffixes": op12_three_way_suffixes,
     "op13_interval_repair": op13_interval_repair,
 }
-ORACLES: dict[str, str] = {}
+
+_COLLOCATIONS = r"""WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+  words AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), w -> w <> '') AS w FROM pieces),
+  starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE len(w) > 0),
+  grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM starts, (VALUES (1), (2), (3)) sizes(k) WHERE i + k - 1 <= len(w)),
+  counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+  totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+  candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+  cuts AS (
+    SELECT c.lang, c.k, c.phrase, c.a, c.w, cut, x.f AS l, y.f AS r,
+      1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f) AS score
+    FROM candidates c JOIN (VALUES (1), (2)) cuts(cut) ON cut < c.k
+    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:], ' ')),
+  scored AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+  within AS (
+    SELECT lang, phrase, max(a) AS longer FROM (
+      SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM candidates WHERE k = 3
+      UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM candidates WHERE k = 3)
+    GROUP BY ALL),
+  kept AS (
+    SELECT s.* FROM scored s LEFT JOIN within i ON i.lang = s.lang AND i.phrase = s.phrase
+    WHERE i.longer IS NULL OR 100 * i.longer < 50 * s.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000"""
+
+ORACLES = {"op12_three_way_suffixes": _COLLOCATIONS}
