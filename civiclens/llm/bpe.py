@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from civiclens.llm.tables import read_table
-from civiclens.llm.texts import RollingHash, flat, slices
+from civiclens.llm.texts import distinct_spans, flat, ragged, release_memory, slices
 
 # The endings that the vocabulary's pattern takes together with an apostrophe.
 _ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -30,7 +30,7 @@ _WHITE = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B))
 _WHITE += (0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 _NONE = np.int64(1 << 40)
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
-_BATCH_BYTES = 2_500_000
+_BATCH_BYTES = 500_000
 
 
 def vocabulary_path() -> str:
@@ -70,7 +70,6 @@ class FragmentEncoder:
         self.keys, self.ranks, self.made = keys[order], order, np.array(made)[order]
         self.joins = self._inside(symbols)
         self.classes = self._classes()
-        self.rolling = RollingHash(7)
 
     def _inside(self, symbols: list[str]) -> np.ndarray:
         """Whether a pair of bytes occurs in a token: [0] before its end, [1] as the end of a word."""
@@ -180,10 +179,10 @@ class FragmentEncoder:
         if not len(starts):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         ended = final[ends - 1]
-        name = self.rolling.of(self.rolling.prepare(data), starts, ends) ^ ended.astype(np.uint64)
-        _, first, which = np.unique(name, return_index=True, return_inverse=True)
+        _, numbers = distinct_spans(data, starts, ends)
+        _, first, which = np.unique(2 * numbers + ended, return_index=True, return_inverse=True)
         sizes = (ends - starts)[first]
-        places = _ragged(starts[first], sizes)
+        places = ragged(starts[first], sizes)
         owner = np.repeat(np.arange(len(first)), sizes)
         last = np.zeros(len(places), bool)
         last[np.cumsum(sizes) - 1] = ended[first]
@@ -191,7 +190,7 @@ class FragmentEncoder:
         pool, owner = self._encode_fragments(symbols, owner)
         counts = np.bincount(owner, minlength=len(first))
         offsets = np.cumsum(counts) - counts
-        return pool[_ragged(offsets[which], counts[which])], counts[which]
+        return pool[ragged(offsets[which], counts[which])], counts[which]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; special tokens spelled out in a text are taken as such."""
@@ -233,12 +232,6 @@ class FragmentEncoder:
         return " ".join([tokens[i] for i in ids.tolist()])
 
 
-def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers ``start .. start + size - 1`` of each pair, one after another."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-
-
 def encoded(batch: pa.RecordBatch, encoder: FragmentEncoder) -> Iterator[tuple[int, np.ndarray]]:
     """Row and ids of every text of a batch of (id, text)."""
     texts = batch.column(1)
@@ -246,6 +239,7 @@ def encoded(batch: pa.RecordBatch, encoder: FragmentEncoder) -> Iterator[tuple[i
     for start, end in slices(offsets, _BATCH_BYTES):
         part = [text or "" for text in texts.slice(start, end - start).to_pylist()]
         yield from enumerate(encoder.encode(part), start)
+    release_memory()
 
 
 def encode_documents(

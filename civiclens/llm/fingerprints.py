@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civiclens.llm.tables import read_table, written
-from civiclens.llm.texts import SLICE_BYTES, RollingHash, flat, mix, random_words, shingles, slices
+from civiclens.llm.texts import SLICE_BYTES, flat, mix, random_words, shingles, slices
 
 BINS = 512
 BITS = 4
 WORDS = 5
+_SEED = 3
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ROWS = 256
 
@@ -33,11 +34,10 @@ class Fingerprinter:
         if bins & (bins - 1) or bits not in (1, 2, 4, 8):
             raise ValueError("bins must be a power of two, and bits 1, 2, 4 or 8")
         self.bins, self.bits, self.words = bins, bits, words
-        self.rolling = RollingHash(3)
 
     def of(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """A row of packed bytes per text; without any word, zeros (see ``is_blank``)."""
-        values, rows = shingles(data, offsets, self.words, self.rolling)
+        values, rows = shingles(data, offsets, self.words, _SEED)
         texts = len(offsets) - 1
         shift = np.uint64(64 - (self.bins.bit_length() - 1))
         at = rows * self.bins + (values >> shift).astype(np.int64)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from civiclens.llm.components import connected_components
 from civiclens.llm.tables import read_table, written
-from civiclens.llm.texts import RollingHash, distinct_by_row, flat, random_words, shingles, slices
+from civiclens.llm.texts import distinct_by_row, flat, random_words, shingles, slices
 
 WORDS = 5
 PERCENT = 80
@@ -33,6 +33,7 @@ HASHES = 200
 # mean once in a hundred thousand times.
 _DEVIATIONS = 4.2
 _BLOCK = 256
+_SEED = 5
 _SHIFT = np.uint64(32)
 
 
@@ -41,13 +42,12 @@ class Signer:
 
     def __init__(self, words: int, size: int = HASHES):
         self.words, self.size = words, size
-        self.rolling = RollingHash(5)
         self.factors = random_words(self.size, 21) | np.uint64(1)
         self.terms = random_words(self.size, 22)
 
     def sets(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct shingles of each text in order, and where each text starts among them."""
-        values, rows = distinct_by_row(*shingles(data, offsets, self.words, self.rolling))
+        values, rows = distinct_by_row(*shingles(data, offsets, self.words, _SEED))
         counts = np.bincount(rows, minlength=len(offsets) - 1)
         return values, np.append(0, np.cumsum(counts))
 

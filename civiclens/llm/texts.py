@@ -5,6 +5,8 @@ needs memory for a slice (or for one very long text), not for a batch. NULL is a
 empty text here.
 """
 
+import ctypes
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,8 +51,38 @@ def random_words(n: int, seed: int) -> np.ndarray:
     return mix(steps * np.uint64(0x9E3779B97F4A7C15))
 
 
+def release_memory() -> None:
+    """Give memory that is free in this process back: workers live on for tasks of other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not this C library
+        pass
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``start .. start + size - 1`` of each pair, one after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct byte strings of the spans, and for each span the number of its own. Bytes are
+    compared, not hashes of them."""
+    sizes = ends - starts
+    places = np.append(0, np.cumsum(sizes)).astype(np.int64)
+    buffers = [None, pa.py_buffer(places), pa.py_buffer(data[ragged(starts, sizes)])]
+    strings = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), buffers)
+    coded = strings.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 class RollingHash:
-    """64-bit polynomial hashes of any substrings of a byte array, by differences of prefix sums."""
+    """64-bit polynomial hashes of any substrings of a byte array, by differences of prefix sums.
+
+    For strings of some hundred bytes only: modulo a power of two there are pairs of strings of 1,024
+    bytes that every base and table takes for equal.
+    """
 
     def __init__(self, seed: int = 1):
         self.table = random_words(256, seed)
@@ -97,19 +129,27 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
 
 
+def word_hashes(words: pa.Array, seed: int) -> np.ndarray:
+    """64 bits of the BLAKE2b of each word."""
+    salt = seed.to_bytes(8, "little")
+    digests = [hashlib.blake2b(word, digest_size=8, salt=salt).digest() for word in words.to_pylist()]
+    return np.frombuffer(b"".join(digests), np.uint64)
+
+
 def shingles(
-    data: np.ndarray, offsets: np.ndarray, words: int, rolling: RollingHash
+    data: np.ndarray, offsets: np.ndarray, words: int, seed: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of every run of ``words`` words, in lower case (A-Z), repeats included.
 
     A row with fewer words has one shingle, its whole sequence; without words, none.
-    Rows come in order.
+    Rows come in order. Each distinct word is hashed once, with ``seed``.
     """
     lower = lower_ascii(data)
     starts, ends, rows = word_spans(lower, offsets)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    word = rolling.of(rolling.prepare(lower), starts, ends)
+    names, numbers = distinct_spans(lower, starts, ends)
+    word = word_hashes(names, seed)[numbers]
     counts = np.bincount(rows, minlength=len(offsets) - 1)
     firsts = np.cumsum(counts) - counts
     sizes = np.minimum(counts, words)  # words of a shingle

@@ -10,7 +10,7 @@ import plain
 import pytest
 from tokenizers import Tokenizer
 
-from civiclens.llm import bpe, fingerprints, packing, sharding
+from civiclens.llm import bpe, fingerprints, minhash, packing, sharding
 
 ODD = [
     "", "a", "'s", "it's 'tis ''s don't we'll they're x've i'm he'd 'q '", "<|endoftext|>",
@@ -38,6 +38,34 @@ def test_encoding_is_that_of_the_library(library, texts):
         assert encoder.decode(ids) == library.decode(ids.tolist(), skip_special_tokens=False)
 
 
+def thue_morse(letters, n):
+    """Two words that every polynomial hash modulo 2^64 takes for equal, from 1,024 letters on."""
+    word = "".join(letters[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate(str.maketrans(letters, letters[::-1]))
+
+
+@pytest.mark.parametrize("letters", ["ab", "to", "er"])
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_with_one_polynomial_hash_are_encoded_apart(library, letters, n):
+    words = thue_morse(letters, n)
+    encoder = bpe.FragmentEncoder(bpe.vocabulary_path())
+    want = [library.encode(word, add_special_tokens=False).ids for word in words]
+    assert want[0] != want[1]
+    assert [ids.tolist() for ids in encoder.encode(list(words))] == want
+
+
+def test_words_with_one_polynomial_hash_have_sets_and_checksums_of_their_own(spark, library):
+    rows = [(i, word + " x") for i, word in enumerate(thue_morse("ab", 1024) + thue_morse("to", 2048))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    near = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, words=2).collect()}
+    assert near == {i: i for i in range(4)}
+    prints = fingerprints.fingerprint_documents(docs).collect()
+    assert len({r.fingerprint for r in prints}) == 4
+    for r in packing.cut_pieces(docs).collect():
+        ids = library.encode(rows[r.doc_id][1], add_special_tokens=False).ids + [packing.END]
+        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
 def test_encode_documents(spark, library):
     rows = [(1, None, "x"), (None, "", "y"), (2, "Hello world", "z"), (2, "Hello world", "z")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens string")
