@@ -1,14 +1,15 @@
 """Near duplicates by MinHash: banding, verification, connected components.
 
-Texts are sets of word shingles. Equal sets are one class, by a digest of the whole set. A class
+Texts are sets of word shingles. Equal sets are one class, named by a digest of the whole set. A class
 has the minima of many universal hash functions; classes that agree in all rows of a band meet
 in a bucket. Pairs are verified by their signatures first and by their full sets then.
 
 A bucket of many near copies is never paired with itself. Every bucket has a hub, to which its
 members are compared, and then another, for those that are not in one component yet. What
-hubs leave open are members outside the main component of their bucket. The signatures of these
-and of the whole bucket are compared in blocks, and where they are near enough and still in two
-components, so are the sets. So no link that the bands have found is lost to the components.
+hubs leave open are members outside the main component of their bucket. They are taken in blocks of
+near relatives, and a block meets all members of its buckets once, however many buckets they share: a
+task holds the sets of a block, goes through those of the others, and passes on only the
+links that join two components. So no link that the bands have found is lost to the components.
 """
 
 import hashlib
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from civiclens.llm.components import connected_components
 from civiclens.llm.tables import read_table, written
-from civiclens.llm.texts import distinct_by_row, flat, random_words, shingles, slices
+from civiclens.llm.texts import distinct_by_row, flat, ragged, random_words, shingles, slices
 
 WORDS = 5
 PERCENT = 80
@@ -32,11 +33,16 @@ HASHES = 200
 # Signatures of a pair of the least similarity agree less than so many deviations below the
 # mean once in a hundred thousand times.
 _DEVIATIONS = 4.2
-_BLOCK = 256
+# Open members of a block, bytes of their sets, and members that a task compares with a block.
+_BLOCK, _BLOCK_BYTES, _PARTNERS = 1024, 32_000_000, 20_000
 _SEED = 5
 _SHIFT = np.uint64(32)
 
 
+def _digest(values: np.ndarray) -> bytes:
+    return hashlib.blake2b(np.ascontiguousarray(values).view(np.uint8), digest_size=16).digest()
+
+
 class Signer:
     """Sets, digests and signatures of many texts at a time."""
 
@@ -75,11 +81,7 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
                 part = offsets[start : end + 1]
                 values, starts = signer.sets(data[part[0] : part[-1]], part - part[0])
                 counts += np.diff(starts).tolist()
-                view = memoryview(np.ascontiguousarray(values).view(np.uint8))
-                digests += [
-                    hashlib.blake2b(view[8 * a : 8 * b], digest_size=16).digest()
-                    for a, b in zip(starts[:-1], starts[1:])
-                ]
+                digests += [_digest(values[a:b]) for a, b in zip(starts[:-1], starts[1:])]
                 signatures += [s.tobytes() for s in signer.signatures(values, starts)]
             kinds = [pa.int64(), pa.binary(), pa.binary()]
             arrays = [pa.array(c, k) for c, k in zip((counts, digests, signatures), kinds)]
@@ -114,15 +116,16 @@ def _set_rows(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(words, 0)
         for batch in batches:
-            data, offsets = flat(batch.column(1))
-            out = []
+            data, offsets = flat(batch.column(0))
+            digests, out = [], []
             for start, end in slices(offsets):
                 part = offsets[start : end + 1]
                 values, starts = signer.sets(data[part[0] : part[-1]], part - part[0])
-                out += [values[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
-            sets = pa.array(out, pa.binary())
+                sets = [values[a:b] for a, b in zip(starts[:-1], starts[1:])]
+                digests += map(_digest, sets)
+                out += [one.tobytes() for one in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), sets], ["id", "signature", "members"]
+                [pa.array(digests, pa.binary()), pa.array(out, pa.binary())], ["digest", "members"]
             )
 
     return run
@@ -168,68 +171,64 @@ def near_duplicates(
 
     Two sets are linked if 100 times their intersection is at least ``percent`` times their
     union. A text without words, NULL among them, has an empty set and no links. An id is one
-    document: rows that repeat it belong together, and where their texts differ they are linked
-    with others by equal sets only. A row with a NULL id is linked with nothing and kept, without
-    a component. Any other columns are not looked at.
+    document: rows that repeat it belong together, each linked by its own text. A row with a NULL id is
+    linked with nothing and kept, without a component. Any other columns are not looked at. Ids may be
+    of any type that has an order.
     """
+    if bands * rows > HASHES:
+        raise ValueError(f"the bands take more than {HASHES} hashes")
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     described = written(describe(texts, words), "described")
     linkable = described.filter("id is not null and n_shingles > 0")
-    classes = linkable.groupBy("digest").agg(F.min("id").alias("top"))
-    tops = written(
-        linkable.join(classes, "digest").filter("id = top").select("id", "digest", "signature")
-        .dropDuplicates(["id", "digest"]),
-        "tops",
+    classes = written(
+        linkable.groupBy("digest").agg(F.min("id").alias("top"), F.first("signature").alias("signature")),
+        "classes",
     )
-    tagged = linkable.select("id", "digest").distinct()
-    same_id = written(tagged.groupBy("id").count().filter("count > 1").select("id"), "repeated ids")
-    if bands * rows > HASHES:
-        raise ValueError(f"the bands take more than {HASHES} hashes")
-    banded = tops.select("id", F.posexplode(_buckets(bands, rows)("signature")).alias("band", "bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("hub"))
-    members = written(banded.join(shared.filter("n > 1").select("bucket", "hub"), "bucket"), "members")
-    found = members.select("id").distinct()
-    sets = written(
-        texts.join(found, "id")
-        .join(tops.join(found, "id", "left_semi").join(same_id, "id", "left_anti"), "id")
-        .select("id", "text", "signature")
-        .mapInArrow(_set_rows(words), "id bigint, signature binary, members binary")
-        .dropDuplicates(["id"]),
-        "sets",
+    banded = classes.select("digest", F.posexplode(_buckets(bands, rows)("signature")).alias("band", "bucket"))
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("digest").alias("hub"))
+    members = banded.join(shared.filter("n > 1").select("bucket", "hub"), "bucket")
+    members = written(members.select("bucket", "digest", "hub").distinct(), "members")
+    found = classes.join(members.select("digest").distinct(), "digest", "left_semi")
+    sets = (
+        texts.join(found.select(F.col("top").alias("id")).distinct(), "id", "left_semi")
+        .select("text")
+        .mapInArrow(_set_rows(words), "digest binary, members binary")
     )
-    links = _links(members, sets, percent, bands, rows)
-    parts = connected_components(links)
-    tagged = tagged.join(classes, "digest")
-    if not same_id.isEmpty():  # ids that repeat tie their classes together
-        parts = connected_components(
-            links.unionByName(tagged.select(F.col("id").alias("a"), F.col("top").alias("b")))
-        )
-    component = tagged.join(parts.withColumnRenamed("id", "top"), "top", "left").select(
-        "id", F.coalesce("component", "top").alias("component")
-    )
-    component = component.groupBy("id").agg(F.min("component").alias("component"))
-    known = F.coalesce("component", "id")
-    return described.join(component, "id", "left").select(
+    # An id may have other texts too, and a text may come twice.
+    sets = written(found.select("digest", "signature").join(sets, "digest").dropDuplicates(["digest"]), "sets")
+    links = _links(members, sets, percent)
+    # Classes that share an id belong together.
+    owned = linkable.select("id", "digest").distinct()
+    several = owned.groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a <> b")
+    several = written(several.select("id", "a"), "repeated ids")
+    if not several.isEmpty():
+        links = links.unionByName(owned.join(several, "id").select("a", F.col("digest").alias("b")))
+    parts = connected_components(links).select(F.col("id").alias("digest"), "component")
+    placed = classes.select("digest", "top").join(parts, "digest", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "digest"))
+    smallest = placed.groupBy("component").agg(F.min("top").alias("component_id"))
+    placed = placed.join(smallest, "component").select("digest", "component_id")
+    of_id = linkable.select("id", "digest").join(placed, "digest")
+    of_id = of_id.groupBy("id").agg(F.min("component_id").alias("component_id"))
+    known = F.coalesce("component_id", "id")
+    return described.join(of_id, "id", "left").select(
         F.col("id").alias(id_column), "n_shingles",
         known.alias("component_id"), F.coalesce(F.col("id") == known, F.lit(True)).alias("kept"),
     )
 
 
-def _links(members: DataFrame, sets: DataFrame, percent: int, bands: int, rows: int) -> DataFrame:
+def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Verified links (``a``, ``b``), enough of them for the components that all links make."""
-    pairs = members.select(F.col("hub").alias("a"), F.col("id").alias("b")).filter("a <> b")
+    pairs = members.select(F.col("hub").alias("a"), F.col("digest").alias("b")).filter("a <> b")
     tested = _judged(pairs, sets, percent)
     links = tested.filter("linked").select("a", "b")
-    placed = _placed(members.select("band", "bucket", "id"), links)
-    for pairs_of in (_star_pairs, lambda left: _open_pairs(left, sets, percent, bands, rows)):
-        if placed.isEmpty():
-            break
-        judged = _judged(pairs_of(placed), sets, percent, tested)
-        tested = tested.unionByName(judged)
-        links = links.unionByName(judged.filter("linked").select("a", "b"))
-        if pairs_of is _star_pairs:
-            placed = _placed(placed.select("band", "bucket", "id"), links)
-    return links
+    placed = _placed(members.select("bucket", "digest"), links)
+    if placed.isEmpty():
+        return links
+    judged = _judged(_star_pairs(placed), sets, percent, tested)
+    links = links.unionByName(judged.filter("linked").select("a", "b"))
+    placed = _placed(placed.select("bucket", "digest"), links)
+    return links if placed.isEmpty() else links.unionByName(_open_links(placed, sets, percent))
 
 
 def _judged(pairs: DataFrame, sets: DataFrame, percent: int, tested: DataFrame | None = None) -> DataFrame:
@@ -244,8 +243,9 @@ def _judged(pairs: DataFrame, sets: DataFrame, percent: int, tested: DataFrame |
 
 def _placed(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members of buckets that are in more than one component, with their component."""
-    placed = members.join(connected_components(links), "id", "left").select(
-        "band", "bucket", "id", F.coalesce("component", "id").alias("component")
+    parts = connected_components(links).withColumnRenamed("id", "digest")
+    placed = members.join(parts, "digest", "left").select(
+        "bucket", "digest", F.coalesce("component", "digest").alias("component")
     )
     placed = written(placed, "placed")
     split = placed.groupBy("bucket").agg(
@@ -256,56 +256,104 @@ def _placed(members: DataFrame, links: DataFrame) -> DataFrame:
 
 def _star_pairs(placed: DataFrame) -> DataFrame:
     """The members of each bucket with a hub chosen by a hash, unless they are in one component."""
-    drawn = F.struct(F.xxhash64("bucket", "id"), "id", "component")
+    drawn = F.struct(F.xxhash64("bucket", "digest"), "digest", "component")
     hubs = placed.groupBy("bucket").agg(F.min(drawn).alias("hub"))
     pairs = placed.join(hubs, "bucket").filter("component <> hub.component")
-    return pairs.select(F.col("hub.id").alias("a"), F.col("id").alias("b"))
+    return pairs.select(F.col("hub.digest").alias("a"), F.col("digest").alias("b"))
 
 
-def _open_pairs(placed: DataFrame, sets: DataFrame, percent: int, bands: int, rows: int) -> DataFrame:
-    """Pairs of a bucket in two components whose signatures are near enough.
+def _open_links(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components: of members outside the main component of a bucket with all others there.
 
-    One of a pair is outside the main component of the bucket. Blocks of these and of all members
-    are dealt by a hash, some ``_BLOCK`` members each, and joined on the bucket.
+    The open members go to blocks by the smallest member of their buckets, so that near copies
+    share one, and a block meets every member of any of its buckets, once. Those it meets are dealt
+    to parts of some ``_PARTNERS``, each with the sets of the block.
     """
-    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min("digest").alias("least"))
     main = sizes.groupBy("bucket").agg(
-        F.sum("n").alias("n"), F.max(F.struct("n", "component"))["component"].alias("main")
+        F.max(F.struct("n", "component"))["component"].alias("main"), F.min("least").alias("least")
     )
-    dealt = placed.join(main, "bucket").join(sets.select("id", "signature"), "id")
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / _BLOCK)))
-    dealt = written(dealt, "dealt")
-
-    def blocks(some: DataFrame, name: str) -> DataFrame:
-        members = F.collect_list(F.struct("id", "component", "signature")).alias(name)
-        return some.groupBy("bucket", "band", "block").agg(members).drop("block")
-
-    outside = blocks(dealt.filter("component <> main"), "one")
-    whole = blocks(dealt, "two").drop("band")
-    near = _near_signatures(_least_agreement(percent), bands, rows)
-    return outside.join(whole, "bucket").select("band", "one", "two").mapInArrow(near, "a bigint, b bigint")
-
-
-def _near_signatures(least: float, bands: int, rows: int):
-    def matrix(block: pa.Scalar):
-        fields = block.values
-        ids, parts = (np.array(fields.field(i).to_pylist(), np.int64) for i in (0, 1))
-        signatures = np.frombuffer(b"".join(fields.field(2).to_pylist()), np.uint32)
-        return ids, parts, signatures.reshape(len(ids), -1)
+    outside = written(
+        placed.join(main, "bucket").filter("component <> main").select("bucket", "digest", "component", "least"),
+        "outside",
+    )
+    opened = outside.groupBy("digest", "component").agg(F.min("least").alias("family"))
+    opened = opened.join(sets.select("digest", F.octet_length("members").alias("bytes")), "digest")
+    each = opened.groupBy("family").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    blocks = F.ceil(F.greatest(F.col("n") / _BLOCK, F.col("bytes") / _BLOCK_BYTES))
+    block = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("bigint").alias("block")
+    opened = opened.join(each.select("family", blocks.alias("blocks")), "family")
+    opened = written(opened.select("family", block, "digest", "component"), "open")
+    reached = outside.select("bucket", "digest").join(opened.drop("component"), "digest")
+    reached = reached.select("family", "block", "bucket").distinct()
+    met = written(reached.join(placed, "bucket").select("family", "block", "digest", "component").distinct(), "met")
+    each = met.groupBy("family", "block").agg(F.ceil(F.count("*") / _PARTNERS).cast("bigint").alias("parts"))
+    part = F.pmod(F.xxhash64("digest"), F.col("parts"))
+    met = met.join(each, ["family", "block"]).withColumn("part", part).withColumn("met", F.lit(True))
+    own = opened.join(each, ["family", "block"]).withColumn("met", F.lit(False))
+    own = own.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    key = ["family", "block", "part"]
+    rows = met.select(*key, "met", "digest", "component").unionByName(own.select(*key, "met", "digest", "component"))
+    rows = rows.join(sets.select("digest", "members"), "digest").repartition(*key)
+    rows = rows.sortWithinPartitions(*key, "met").select(*key, "met", "digest", "component", "members")
+    return written(rows.mapInArrow(_forest(percent), "a binary, b binary"), "open links")
+
+
+def _forest(percent: int):
+    """Links between the sets of a block, which come first, and those it meets, but only such as join
+    two components that the task has not joined yet."""
+
+    class Block:
+        def __init__(self):
+            self.digests, self.sets, self.top = [], [], {}
+            self.index = None
+
+        def find(self, component: bytes) -> bytes:
+            top = self.top
+            while top.setdefault(component, component) != component:
+                top[component] = component = top[top[component]]
+            return component
+
+        def add(self, digest: bytes, component: bytes, members: np.ndarray) -> None:
+            self.digests.append((digest, component))
+            self.sets.append(members)
+
+        def links(self, digest: bytes, component: bytes, members: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+            if self.index is None:
+                self.lengths = np.array([len(one) for one in self.sets])
+                values = np.concatenate(self.sets)
+                owners = np.repeat(np.arange(len(self.sets)), self.lengths)
+                order = np.argsort(values, kind="stable")
+                self.owners = owners[order]
+                self.index, self.starts = np.unique(values[order], return_index=True)
+                self.sizes = np.diff(self.starts, append=len(values))
+                self.sets = []
+            at = np.minimum(np.searchsorted(self.index, members), len(self.index) - 1)
+            at = at[self.index[at] == members]
+            shared = np.bincount(self.owners[ragged(self.starts[at], self.sizes[at])], minlength=len(self.lengths))
+            union = self.lengths + len(members) - shared
+            for i in np.flatnonzero(100 * shared >= percent * union).tolist():
+                other, its = self.digests[i]
+                one, two = self.find(its), self.find(component)
+                if one != two:
+                    self.top[max(one, two)] = min(one, two)
+                    yield other, digest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, block = None, Block()
         for batch in batches:
-            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-            for band, one, two in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                (a, part_a, x), (b, part_b, y) = matrix(one), matrix(two)
-                for i in range(len(a)):
-                    equal = y == x[i]
-                    same = equal[:, : bands * rows].reshape(len(b), bands, rows).all(axis=2)
-                    # Members that meet in several bands are taken in the first of these.
-                    hit = (equal.mean(axis=1) >= least) & (part_b != part_a[i]) & (same.argmax(axis=1) == band)
-                    found.append((np.full(hit.sum(), a[i]), b[hit]))
-            columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+            out = []
+            keys = zip(*(batch.column(i).to_pylist() for i in range(3)))
+            for key, met, digest, component, members in zip(keys, *(batch.column(i) for i in range(3, 7))):
+                if key != last:
+                    last, block = key, Block()
+                row = digest.as_py(), component.as_py(), np.frombuffer(members.as_buffer(), np.uint64)
+                if met.as_py():
+                    out += block.links(*row)
+                else:
+                    block.add(*row)
+            columns = list(zip(*out)) or [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["a", "b"])
 
     return run
 

@@ -49,6 +49,29 @@ def test_near_duplicates_of_odd_rows(spark):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_a_class_whose_smallest_id_has_another_text_keeps_its_links(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, text), (5, "q r s t u v w"), (6, text), (2000, text + " x"), (7, "q r s t u v w z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs, words=2).collect()}
+    assert out == {(5, 5), (6, 5), (2000, 5), (7, 5)}
+
+
+def test_blocks_and_parts_of_open_members_lose_no_link(spark, monkeypatch):
+    """Chains of texts, each near the next only, in buckets that no hub can join."""
+    monkeypatch.setattr(minhash, "_BLOCK", 8)
+    monkeypatch.setattr(minhash, "_PARTNERS", 16)
+    random.seed(7)
+    family, words = {}, [f"w{i}" for i in range(100)]
+    for i in range(160):
+        words = [f"{random.choice('xy')}{i}" if random.random() < 0.045 else w for w in words]
+        family[i * 37 % 160] = " ".join(words)
+    docs = spark.createDataFrame(list(family.items()), "doc_id bigint, text string")
+    out = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, words=2, bands=40, rows=3).collect()}
+    want = plain.components(family, plain.near_links(family, 2))
+    assert out == want and len(set(want.values())) > 3
+
+
 def test_an_id_with_two_texts_ties_their_classes(spark):
     rows = [(1, "a b c d"), (2, "a b c d"), (2, "q r s t"), (3, "q r s t"), (4, "u v")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
