@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,16 +40,42 @@ def write_rows(df: DataFrame, path: str, fmt: str = "csv") -> None:
         df.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
+def _feature(df: DataFrame, number: str) -> Column:
+    properties = F.struct(*[F.col(f"`{name}`") for name in df.columns if name != number])
+    return F.struct(F.lit("Feature").alias("type"), properties.alias("properties"))
+
+
 def write_features(df: DataFrame, path: str, number: str) -> None:
     """Write rows as GeoJSON, one FeatureCollection per file.
 
     ``number`` is a whole-number column without duplicates. Rows go to files by
-    its ranges, so that no document has over ``FEATURES_PER_FILE`` features.
+    its ranges, so that no document has over ``FEATURES_PER_FILE`` features; if repeated or missing
+    numbers would make one larger, a ``ValueError`` is raised before anything is written.
     """
-    properties = F.struct(*[name for name in df.columns if name != number])
-    feature = F.struct(F.lit("Feature").alias("type"), properties.alias("properties"))
-    documents = df.groupBy(F.floor(F.col(number) / FEATURES_PER_FILE).alias("file")).agg(
-        F.collect_list(feature).alias("features")
-    )
+    file = F.floor(F.col(f"`{number}`") / FEATURES_PER_FILE).alias("file")
+    largest = df.groupBy(file).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    if (largest or 0) > FEATURES_PER_FILE:
+        raise ValueError(f"{number} is missing or repeated too often: a document would have {largest} features")
+    documents = df.groupBy(file).agg(F.collect_list(_feature(df, number)).alias("features"))
     text = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features"))
     documents.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+
+
+def write_feature_document(df: DataFrame, path: str, number: str) -> None:
+    """Write rows as one GeoJSON document in one file, in order of ``number``.
+
+    The document is written feature by feature by a last task, which holds none of it in memory.
+    """
+    rows = df.select(F.struct(F.lit(1).alias("part"), F.col(f"`{number}`").alias("at")).alias("place"),
+                     F.to_json(_feature(df, number)).alias("value"))
+    first = rows.agg(F.min("place")).scalar()
+    value = F.when(F.col("place") == first, F.col("value")).otherwise(F.concat(F.lit(","), "value"))
+    rows = rows.select("place", value.alias("value"))
+    ends = df.sparkSession.sql(
+        """SELECT * FROM VALUES (0, '{"type":"FeatureCollection","features":['), (2, ']}') AS ends(part, value)"""
+    )
+    ends = ends.select(
+        F.struct("part", F.lit(None).cast(df.schema[number].dataType).alias("at")).alias("place"), "value"
+    )
+    ordered = rows.unionByName(ends).orderBy("place", "value")
+    ordered.coalesce(1).select("value").write.option("lineSep", " ").text(path)
