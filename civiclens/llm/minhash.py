@@ -34,7 +34,7 @@ HASHES = 200
 # mean once in a hundred thousand times.
 _DEVIATIONS = 4.2
 # Open members of a block, bytes of their sets, and members that a task compares with a block.
-_BLOCK, _BLOCK_BYTES, _PARTNERS = 1024, 32_000_000, 20_000
+_BLOCK, _BLOCK_BYTES, _PARTNERS = 512, 16_000_000, 4096
 _SEED = 5
 _SHIFT = np.uint64(32)
 
@@ -242,9 +242,16 @@ def _judged(pairs: DataFrame, sets: DataFrame, percent: int, tested: DataFrame |
 
 
 def _placed(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members of buckets that are in more than one component, with their component."""
-    parts = connected_components(links).withColumnRenamed("id", "digest")
-    placed = members.join(parts, "digest", "left").select(
+    """Members of buckets that are not known to be in one component, with the name of what they are in.
+
+    A name is that of the smallest neighbour of the smallest neighbour, which is surely linked with the
+    member. So pairs with one name need no test, and some with two names are tested though linked.
+    """
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    nearest = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("b"))
+    tops = nearest.toDF("b", "top")
+    named = nearest.join(tops, "b").select(F.col("a").alias("digest"), F.col("top").alias("component"))
+    placed = members.join(named, "digest", "left").select(
         "bucket", "digest", F.coalesce("component", "digest").alias("component")
     )
     placed = written(placed, "placed")
