@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civiclens.llm.tables import read_table, written
-from civiclens.llm.texts import flat, lower_ascii, mix, slices
+from civiclens.llm.texts import flat, lower_ascii, mix, release_memory, slices
 
 LONGEST = 3
 LEAST = 10
@@ -32,9 +32,9 @@ SCALE = 1_000_000
 _BORDERS = (*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D)
 _BLANKS = (0x20, 0x09)
 _NO_LANGUAGE = "und"
-_SLICE_BYTES = 6_000_000
+_SLICE_BYTES = 3_000_000
 _BUCKET_BYTES = 4_000_000
-_CHUNK = 1_000_000  # suffixes that are sorted together
+_CHUNK = 400_000  # suffixes that are sorted together
 _HOT_SHARE = 500
 _PARTS = 512
 _PACKED = "bucket bigint, lang string, suffixes binary, n bigint"
@@ -198,6 +198,7 @@ def _suffixes(longest: int, buckets: int):
                 if pairs.any():
                     out += fold(packer, names, after[:, pairs], lang[pairs], langs, 2, seeds)
                 yield _batch(out)
+                release_memory()
 
     return run
 
@@ -381,11 +382,13 @@ def _counted(least: int, longest: int, buckets: int):
                         if rows:
                             yield table(list(sort(packer, rows, bound)))
                     whole, part, n = [], [], 0
+                    release_memory()
                 (part if row[0] == cut else whole).append(row)
                 n += row[3]
         for rows, bound in ((whole, least), (part, 1)):
             if rows:
                 yield table(list(sort(packer, rows, bound)))
+        release_memory()
 
     return run
 
