@@ -30,6 +30,8 @@ SAMPLE_ROWS = 1_000
 # And of each language at least so many, if it has them; fewer of more than 20 languages.
 RARE_ROWS = 50
 _RARE_LEAST = 5
+# The languages with the most rows that are learned, of any number of names in the column.
+MOST_LANGUAGES = 200
 SAMPLE_TEXT_BYTES = 50_000
 # Share of the right predictions on texts kept out that rejection may cost.
 REJECTED_RIGHT = 0.0005
@@ -66,7 +68,7 @@ class Subwords:
 
     def __init__(self, buckets: int = BUCKETS):
         self.mask = np.uint64(buckets - 1)
-        points = range(0x30000)
+        points = range(0x40000)  # beyond these planes there are no letters
         letters = np.array([unicodedata.category(chr(c))[0] == "L" for c in points])
         lower = np.array([ord(low) if len(low := chr(c).lower()) == 1 else c for c in points])
         self.code = np.where(letters, lower, 0).astype(np.uint32)
@@ -218,23 +220,24 @@ def train_on(
 ) -> LanguageModel | None:
     """Learn from up to ``sample_rows`` rows outside fold 0 that have a text and a language.
 
-    They are chosen by the hash of the id; texts over ``SAMPLE_TEXT_BYTES`` are not learned from.
+    They are chosen by the hash of id and text; texts over ``SAMPLE_TEXT_BYTES`` are not learned from.
     Of each language at least the first ``RARE_ROWS`` are among them, of many languages
-    ``sample_rows`` for all, but no fewer than ``_RARE_LEAST`` each.
+    ``sample_rows`` for all, but no fewer than ``_RARE_LEAST`` each. Of over ``MOST_LANGUAGES`` names, those
+    with the most rows are learned. Rows that repeat are learned once, and an id may have several texts.
     """
     known = docs.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang")
     ).filter((fold("id") != 0) & (F.octet_length("text") <= SAMPLE_TEXT_BYTES) & F.col("lang").isNotNull())
-    known = known.filter(F.col("lang") != UNKNOWN)
-    by_hash = [F.xxhash64("id"), "id"]
+    known = known.filter((F.col("lang") != UNKNOWN) & F.col("id").isNotNull())
+    most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    languages = [row["lang"] for row in most.collect()]
+    known = known.filter(F.col("lang").isin(*languages)) if languages else known.limit(0)
+    each = max(_RARE_LEAST, min(RARE_ROWS, sample_rows // max(1, len(languages))))
+    by_hash = [F.xxhash64("id", "text"), "id", F.md5("text")]
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*by_hash))
-    first = known.select("id", "lang").withColumn("rank", rank).filter(F.col("rank") <= RARE_ROWS).collect()
-    each = max(_RARE_LEAST, min(RARE_ROWS, sample_rows // max(1, len({row["lang"] for row in first}))))
-    some = known.select("id").orderBy(*by_hash).limit(sample_rows).collect()
-    ids = {row["id"] for row in some} | {row["id"] for row in first if row["rank"] <= each}
-    ids.discard(None)
-    picked = docs.sparkSession.createDataFrame([(i,) for i in ids], known.select("id").schema)
-    rows = known.join(F.broadcast(picked), "id").limit(2 * len(ids)).collect()
+    first = known.withColumn("rank", rank).filter(F.col("rank") <= each).drop("rank")
+    some = known.orderBy(*by_hash, "lang").limit(sample_rows)
+    rows = some.unionByName(first).distinct().collect()
     rows.sort(key=lambda row: (zlib.crc32(f"{row['id']}/".encode()), row["text"], row["lang"]))
     return train([row["text"] for row in rows], [row["lang"] for row in rows])
 

@@ -207,18 +207,27 @@ def train_on(
 ) -> ToxicityModel | None:
     """Learn from up to ``sample_rows`` labelled rows of each kind outside fold 0, by hash order.
 
-    Rows without an id, text or label, and texts over ``SAMPLE_TEXT_BYTES``, are not learned from.
+    Rows without an id, text or label, and texts over ``SAMPLE_TEXT_BYTES``, are not learned from, nor are
+    ids with both labels. An id may have several texts; rows that repeat are learned once.
     All rows of each kind that could be are counted, as the sample has another mix.
     """
     known = labels.select(F.col(id_column).alias("id"), F.col(label_column).alias("label"))
     known = known.filter((fold("id") != 0) & F.col("id").isNotNull() & F.col("label").isin(0, 1))
+    known = known.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
+    known = known.filter("label = other").drop("other")
     picked = None
     for kind in (0, 1):
         some = known.filter(F.col("label") == kind).orderBy(F.xxhash64("id"), "id").limit(sample_rows)
         picked = some if picked is None else picked.unionByName(some)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     texts = texts.filter(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
-    rows = texts.join(F.broadcast(picked), "id").collect()
+    found = texts.join(F.broadcast(picked), "id").distinct()
+    by_hash = [F.xxhash64("id", "text"), "id", F.md5("text")]
+    rows = [
+        row
+        for kind in (0, 1)
+        for row in found.filter(F.col("label") == kind).orderBy(*by_hash).limit(sample_rows).collect()
+    ]
     rows.sort(key=lambda row: (zlib.crc32(f"{row['id']}/".encode()), row["text"], row["label"]))
     counts = dict(texts.select("id").join(known, "id").groupBy("label").count().collect())
     toxic = [row["label"] == 1 for row in rows]

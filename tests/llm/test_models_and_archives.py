@@ -155,6 +155,29 @@ def test_a_language_not_learned_is_rejected_and_a_rare_one_learned(spark, labell
     assert "xx" in language.train_on(rare, sample_rows=20).languages
 
 
+def test_letters_of_the_third_plane_are_letters():
+    _, _, letters = language.Subwords().of(["\U00030000\U00030001", "\U0001f600", "\U000e0041"])
+    assert letters.tolist() == [2, 0, 0]
+
+
+def test_models_of_repeated_ids_and_labels(spark, labelled):
+    docs, labels = labelled
+    columns = "doc_id bigint, text string, lang string"
+    rows = [(i % 50 + 1, text, lang) for i, text, lang, *_ in docs]  # an id has several texts
+    again = spark.createDataFrame(rows + rows, columns)
+    once = spark.createDataFrame(rows, columns)
+    models = [language.train_on(t.repartition(n), sample_rows=60) for t, n in ((once, 1), (again, 5))]
+    assert models[0].languages == models[1].languages and (models[0].table == models[1].table).all()
+    names = spark.createDataFrame([(i, f"wort {i}", f"lang {i}") for i in range(1, 400)], columns)
+    assert len(language.train_on(names).languages) <= language.MOST_LANGUAGES
+    marks = [(i, t) for i, _, t in labels] + [(i, 1 - t) for i, _, t in labels[:100]]  # both labels
+    tables_ = once.drop("lang"), spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    model = toxicity.train_on(*tables_, sample_rows=40)
+    assert model == toxicity.train_on(again.drop("lang").repartition(3), tables_[1].repartition(4), sample_rows=40)
+    both = spark.createDataFrame([(i, k) for i in range(60) for k in (0, 1)], "doc_id bigint, toxic int")
+    assert toxicity.train_on(once.drop("lang"), both) is None
+
+
 def test_subwords_are_runs_of_letters_with_their_ends():
     subwords = language.Subwords(1 << 30)
     buckets, owner, letters = subwords.of(["Ab, 12 c", "ab c", ""])
