@@ -15,6 +15,7 @@ from civiclens.llm.tables import read_table, written
 ORACLE_SQL = None
 _SCORE = "toxicity score"
 _FOUND = "found language "
+_TEXT, _ROW = "digest of text", "row"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,17 +40,27 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8), that with the smallest id.
 
-    Only ids that go are joined with the documents. Of rows that repeat an id one stays.
+    Of an id with several texts each text is a document of its own, the one with the smaller digest before the
+    other, so none goes that is not near to one that stays. Rows that repeat an id and its text are one
+    document, of which the row with the smallest values stays. Rows with a NULL id stay. Only
+    ids that go are joined with the documents.
     """
-    judged = written(minhash.near_duplicates(docs), "near-duplicates")
-    repeated = judged.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    gone = judged.filter("not kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
+    text = F.md5(F.coalesce("text", F.lit("")))
+    name = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", text.alias("text")))
+    named = docs.select(name.alias("name"), "text")
+    judged = written(minhash.near_duplicates(named, "name"), "near-duplicates")
+    gone = judged.filter("not kept").select("name.*").distinct()
+    same = [F.col("doc_id") == F.col("gone.doc_id"), text == F.col("gone.text")]
+    columns = [f"`{name}`" for name in docs.columns]
+    left = docs.select(*columns).join(gone.select(F.struct("doc_id", "text").alias("gone")), same, "left_anti")
+    repeated = judged.filter("name is not null").groupBy("name").count().filter("count > 1")
+    repeated = written(repeated.select("name.*"), "repeated rows")
     if repeated.isEmpty():
-        return left.select(*docs.columns)
-    single = left.join(repeated.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    others = left.join(repeated.select("doc_id"), "doc_id", "left_anti")
-    return others.unionByName(single).select(*docs.columns)
+        return left
+    again = repeated.select(F.struct("doc_id", "text").alias("gone"))
+    firsts = left.join(again, same, "left_semi").groupBy("doc_id", text.alias(_TEXT))
+    firsts = firsts.agg(F.min(F.struct(*columns)).alias(_ROW)).select(f"`{_ROW}`.*")
+    return left.join(again, same, "left_anti").unionByName(firsts)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
