@@ -41,6 +41,20 @@ def mean_and_count_by(
     )
 
 
+def exact_mean_and_count_by(
+    df: DataFrame, keys: Sequence[str], value: str, *, digits: int, mean: str, count: str
+) -> DataFrame:
+    """Mean of doubles and rows per key, the same to the last bit however the rows are parted.
+
+    A sum of doubles depends on its order. Here values are taken as decimals with 18 places, whose partial sums are
+    exact in any order, and only the total is rounded. Values from 1e20 on are an error, NaN and infinite ones
+    too, not a wrong mean; missing ones are skipped.
+    """
+    exact = F.sum(F.col(value).cast("decimal(38,18)"))
+    mean_of = F.round(exact.cast("double") / F.count(value), digits)
+    return df.groupBy(*keys).agg(F.when(F.count(value) > 0, mean_of).alias(mean), F.count("*").alias(count))
+
+
 def argmin_by(df: DataFrame, keys: Sequence[str], value: str, label: str) -> DataFrame:
     """Smallest value per key and its label; equal values go to the smaller label.
 
@@ -97,9 +111,11 @@ def fold_copies(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count("*").alias(COPIES))
 
 
-def unfold_copies(df: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
+def unfold_copies(df: DataFrame, order: Sequence[Column] = (), number: str | None = None) -> DataFrame:
     """Inverse of :func:`fold_copies`, sorted by ``order`` if given.
 
+    The column ``number``, if given, has the number of the first copy, and those that follow count on.
+
     A sort sees one row per ten thousand copies, numbered as the last key, so
     that the range partitioning can split a group of copies too. The copies
     come back after it, without a further shuffle. Numbers are made in three
@@ -118,4 +134,8 @@ def unfold_copies(df: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
     if order:
         parts = parts.orderBy(*order, high, part)
     last = F.least(F.col(left) - F.col(part) * _COPIES_PER_ROW, F.lit(_COPIES_PER_ROW))
-    return parts.withColumn(copy, F.explode(F.sequence(F.lit(1), last))).select(*columns)
+    copies = parts.withColumn(copy, F.explode(F.sequence(F.lit(1), last)))
+    if number is not None:
+        place = F.col(high) * per_high + F.col(part) * _COPIES_PER_ROW + F.col(copy) - 1
+        copies = copies.withColumn(number, F.col(number) + place)
+    return copies.select(*columns)

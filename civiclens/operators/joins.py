@@ -5,6 +5,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civiclens.operators.aggregates import COPIES, fold_copies, unfold_copies
 from civiclens.scratch import materialise
 
 BROADCAST_ROWS = 100_000
@@ -40,6 +41,7 @@ def equi_join(
     on = list(on)
     if strategy == "REPLICATE_HOT_KEYS":
         columns = [*left.columns, *[name for name in right.columns if name not in on]]
+        right = materialise(right, "many")  # it is read three times
         return hot_key_join(right, left, on, hot_share=hot_share).select(*columns)
     if strategy == "BROADCAST" and not fits(left, broadcast_rows):
         raise ValueError(f"the side to broadcast has over {broadcast_rows} rows")
@@ -59,18 +61,60 @@ def hot_key_join(
     """
     on = list(on)
     rows = "rows of the key"
-    counts = many.groupBy(*on).agg(F.count("*").alias(rows))
-    total = counts.agg(F.sum(rows)).scalar()
-    hot = materialise(counts.filter(F.col(rows) * hot_share > total).select(*on), "hot-keys")
+    counts = materialise(many.groupBy(*on).agg(F.count("*").alias(rows)), "key-counts")
+    total = counts.agg(F.sum(rows)).first()[0] or 0
+    hot = counts.filter(F.col(rows) * hot_share > total).select(*on)
+    n_hot = hot.count()
+    if not n_hot:
+        return many.join(one, on)
     hot = F.broadcast(hot)
     few = materialise(one.join(hot, on, "left_semi"), "hot-rows")
-    if not fits(few, hot.count()):
+    if not fits(few, n_hot):
         raise ValueError("the side to replicate has several rows per key")
     replicated = many.join(F.broadcast(few), on)
     shuffled = many.join(hot, on, "left_anti").join(one, on)
     return replicated.unionByName(shuffled)
 
 
+def grid_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], *, hot_share: int = HOT_SHARE, least_hot: int = 10_000
+) -> DataFrame:
+    """Inner join on equal column names, of keys with many rows on both sides.
+
+    A key is hot on a side if it has over ``1 / hot_share`` of the rows there, and over ``least_hot``. Its rows are
+    cut into parts of that size by a hash of all their columns, ``p`` on the left and ``q`` on the right; the
+    rows of a left part go to ``q`` cells and those of a right one to ``p``, so each pair meets in one cell
+    of the grid, and a cell has no more rows than a key that is not hot. Equal rows are folded before, or a hash
+    could not part them. The hot keys are counted and written first; there are fewer than twice
+    ``hot_share``. NULL equals nothing.
+    """
+    on = list(on)
+    parts, cells = ("left parts", "right parts"), ("left cell", "right cell")
+    folded, sizes = [], []
+    for side, name in ((left, "left"), (right, "right")):
+        rows = fold_copies(side.dropna(subset=on)).withColumnRenamed(COPIES, f"{name} copies")
+        folded.append(rows)
+        sizes.append(rows.groupBy(*on).agg(F.count("*").alias("rows")))
+    hot = None
+    for counts, part in zip(sizes, parts):
+        counts = materialise(counts, "key-counts")
+        most = max(least_hot, (counts.agg(F.sum("rows")).first()[0] or 0) // hot_share)
+        some = counts.filter(F.col("rows") > most).select(*on, F.ceil(F.col("rows") / most).alias(part))
+        hot = some if hot is None else hot.join(some, on, "full")
+    hot = F.broadcast(materialise(hot.na.fill(1, list(parts)), "hot-keys"))  # fewer than 2 * hot_share rows
+    dealt = []
+    for rows, own, other, cell, across in zip(folded, parts, parts[::-1], cells, cells[::-1]):
+        columns = [f"`{c}`" for c in rows.columns]
+        number = F.pmod(F.xxhash64(*columns), F.coalesce(F.col(own), F.lit(1)))
+        others = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(other), F.lit(1)).cast("bigint") - 1)
+        dealt.append(
+            rows.join(hot, on, "left").select(*columns, number.cast("bigint").alias(cell), F.explode(others).alias(across))
+        )
+    joined = dealt[0].join(dealt[1], [*on, *cells]).drop(*cells)
+    copies = F.col("left copies") * F.col("right copies")
+    return unfold_copies(joined.withColumn(COPIES, copies).drop("left copies", "right copies"))
+
+
 def strategy_matrix(
     run: Callable[[str | None], DataFrame], strategies: Sequence[str | None] = STRATEGIES
 ) -> DataFrame:

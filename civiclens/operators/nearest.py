@@ -37,7 +37,9 @@ MAX_VECTOR_SITES = 256
 # Cell sides in degrees, each a quarter of the one before. The last is a millimetre on the
 # ground, less than coordinates tell apart. There are 529 cells of the first side at most.
 _CELL_SIDES = tuple(16.0 / 4**level for level in range(16))
-_FIRST_CELLS = 16
+_FIRST_CELLS = 256
+# Pairs of cells and sites that a step may make to save steps between.
+_PAIRS = 2_000_000
 _SITES_PER_POINT = 8
 _SITES_PER_LIST = 64
 _ROUNDING_KM = 1e-6
@@ -193,15 +195,15 @@ def _coarser(level: int) -> dict[str, Column]:
     return {cell: F.floor(F.col(cell) / 4 ** (len(_CELL_SIDES) - 1 - level)) for cell in _CELL}
 
 
-def _first_level(fine: DataFrame) -> tuple[int, int]:
-    """Last level that has few cells, by an estimate, and number of points."""
+def _first_level(fine: DataFrame) -> tuple[int, int, list[int]]:
+    """Last level that has few cells, by an estimate, number of points, and the estimated cells per level."""
     levels = range(len(_CELL_SIDES))
     counts = fine.agg(
         F.sum("cell_points"),
         *[F.approx_count_distinct(F.struct(*_coarser(level).values())) for level in levels],
     ).first()
     few = [level for level in levels if counts[1 + level] <= _FIRST_CELLS]
-    return max(few, default=0), counts[0] or 0
+    return max(few, default=0), counts[0] or 0, list(counts[1:])
 
 
 def _candidates(points: DataFrame, sites: DataFrame) -> tuple[DataFrame, float, bool]:
@@ -227,12 +229,12 @@ def _candidates(points: DataFrame, sites: DataFrame) -> tuple[DataFrame, float,
         .agg(F.count("*").alias("cell_points")),
         "fine-cells",
     )
-    first, all_points = _first_level(fine)
+    level, all_points, cells_of = _first_level(fine)
     if not all_points:
         none = {cell: F.lit(0).cast("bigint") for cell in _CELL}
         return sites.limit(0).withColumns(none), _CELL_SIDES[0], False
-    pool = None
-    for level in range(first, len(_CELL_SIDES)):
+    pool, above = None, level
+    while True:
         side = _CELL_SIDES[level]
         cells = (
             fine.withColumns(_coarser(level))
@@ -248,7 +250,7 @@ def _candidates(points: DataFrame, sites: DataFrame) -> tuple[DataFrame, float,
             )
             pairs = sites.select("*", F.inline(listed))
         else:
-            inside = {parent: F.floor(F.col(cell) / 4) for parent, cell in zip(_PARENT, _CELL)}
+            inside = {parent: F.floor(F.col(cell) / 4 ** (level - above)) for parent, cell in zip(_PARENT, _CELL)}
             pairs = pool.join(cells.withColumns(inside), _PARENT).drop(*_PARENT)
         centre_lat = (F.col("cell_lat") + 0.5) * side
         centre_lon = (F.col("cell_lon") + 0.5) * side
@@ -264,11 +266,13 @@ def _candidates(points: DataFrame, sites: DataFrame) -> tuple[DataFrame, float,
         sizes = near.groupBy(*_CELL).agg(
             F.count("*").alias("cell_sites"), F.sum("cell_points").alias("looks")
         )
-        looks, largest = sizes.agg(F.sum("looks"), F.max("cell_sites")).first()
+        looks, largest, each = sizes.agg(F.sum("looks"), F.max("cell_sites"), F.avg("cell_sites")).first()
         near = near.drop("cell_points")
-        if (looks or 0) <= _SITES_PER_POINT * all_points:
+        if (looks or 0) <= _SITES_PER_POINT * all_points or level + 1 == len(_CELL_SIDES):
             break
-        pool = near.withColumnsRenamed(dict(zip(_CELL, _PARENT)))
+        pool, above = near.withColumnsRenamed(dict(zip(_CELL, _PARENT))), level
+        deeper = range(level + 1, len(_CELL_SIDES))
+        level = max((at for at in deeper if each * cells_of[at] <= _PAIRS), default=level + 1)
     return near, side, (largest or 0) > _SITES_PER_LIST
 
 

@@ -125,6 +125,43 @@ ORACLES = {
     + """SELECT pop, count(*) AS n, CAST(sum(households) AS BIGINT) AS households
         FROM blocks GROUP BY pop""",
     "scan_whole_file_json": _BLOCKS,
+    "scan_csv_line_breaks": """SELECT CAST(event_id AS VARCHAR) AS event_id,
+        event_type || ': "' || props || '"' || chr(10) || CASE WHEN event_id % 3 = 0 THEN chr(10) ELSE '' END
+          || user_id AS remark, event_type FROM events""",
+    "scan_feature_document": _BLOCKS,
+    "scan_text_lines_after_header": """SELECT CASE WHEN event_id % 40 = 3 THEN 'event_id,time_text,place'
+        ELSE event_id || ',' || event_type END AS line FROM events""",
+    "dense_row_keys": _with("crimes")
+    + """SELECT place, time_text, row_number() OVER (
+          ORDER BY time_text NULLS FIRST, place NULLS FIRST) - 1 AS row_key FROM crimes""",
+    "exact_means": f"""SELECT event_type,
+        {_half_up("sum((value / 7)::DECIMAL(38, 18))::DOUBLE / count(value)", 9)} AS mean_value,
+        count(*) AS n FROM events GROUP BY event_type""",
+    "join_hot_both_sides": """WITH o AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_orderkey % 50 END AS key,
+          o_custkey AS customer FROM orders),
+        s AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN -1 ELSE s_suppkey % 50 END AS key, s_suppkey FROM supplier)
+        SELECT key, count(*) AS n, CAST(sum(customer * s_suppkey) AS BIGINT) AS total
+        FROM o JOIN s USING (key) GROUP BY key""",
+    "sites_within_km": _with("points", "depots", known=_KNOWN)
+    + f"""SELECT id, site, round(dist_km, 6) AS dist_km FROM (
+          SELECT id, site, {_haversine("p.lat", "p.lon", "s.lat", "s.lon")} AS dist_km
+          FROM known p, depots s WHERE s.lat IS NOT NULL) WHERE dist_km <= 3""",
+    "convert_resumed": _with("crimes") + _CRIME_TEXT,
+    "value_profile": """WITH v AS (SELECT CAST(o_orderkey AS VARCHAR) AS whole, CAST(o_custkey / 4 AS VARCHAR) AS fraction,
+          strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus AS status,
+          CASE WHEN o_orderkey % 50 = 1 THEN 'none' WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS mixed,
+          CAST(NULL AS VARCHAR) AS missing FROM orders),
+        long AS (SELECT 'whole' AS column_name, whole AS text FROM v UNION ALL SELECT 'fraction', fraction FROM v
+          UNION ALL SELECT 'day', day FROM v UNION ALL SELECT 'status', status FROM v
+          UNION ALL SELECT 'mixed', mixed FROM v UNION ALL SELECT 'missing', missing FROM v)
+        SELECT column_name, count(*) AS row_count, count(text) AS non_null_count,
+          CAST(min(length(text)) AS INTEGER) AS shortest, CAST(max(length(text)) AS INTEGER) AS longest,
+          CASE WHEN count(text) = 0 THEN NULL
+            WHEN count(try_cast(CASE WHEN NOT contains(text, '.') THEN text END AS BIGINT)) = count(text) THEN 'BIGINT'
+            WHEN count(try_cast(text AS DOUBLE)) = count(text) THEN 'DOUBLE'
+            WHEN count(try_cast(text AS DATE)) = count(text) THEN 'DATE' ELSE 'STRING' END AS fits,
+          TRUE AS distinct_within_bound
+        FROM long GROUP BY column_name""",
     "scan_parquet_pruned": "SELECT l_orderkey, l_quantity FROM lineitem",
     "scan_text_lines": _with("crimes")
     + "SELECT event_id || ',' || coalesce(time_text, '') || ',' || place AS line FROM crimes",

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from civiclens.contracts import BLOCK_PROPERTIES
@@ -14,7 +15,8 @@ from civiclens.sources.readers import (
     read_lines,
     source_name,
 )
-from civiclens.sources.writers import csv_to_parquet, write_features
+from civiclens.sources import writers
+from civiclens.sources.writers import convert_new, csv_to_parquet, read_converted, write_features
 from plans_helper import plan_of
 
 
@@ -129,3 +131,40 @@ def test_source_name(spark, tmp_path):
     write(tmp_path / "q1-run.log", "x")
     names = spark.read.text(str(tmp_path)).select(source_name())
     assert tuples(names) == [("q1-run",)]
+
+
+def test_conversion_takes_new_and_changed_files_only(spark, tmp_path):
+    target = str(tmp_path / "out")
+    a, b = write(tmp_path / "a.csv", "x,y\n1,2\n"), write(tmp_path / "b.csv", "y,x\n3,4\n")
+    with pytest.raises(ValueError, match="nothing"):
+        read_converted(spark, target)
+    assert convert_new(spark, [a], target) == [a]
+    assert convert_new(spark, [a, b, b], target) == [b]
+    assert convert_new(spark, [a, b], target) == []
+    assert sorted(tuples(read_converted(spark, target))) == [("1", "2"), ("4", "3")]
+    write(tmp_path / "a.csv", "x,y\n1,2\n5,6\n")
+    assert convert_new(spark, [a, b], target) == [a]
+    assert sorted(tuples(read_converted(spark, target))) == [("1", "2"), ("4", "3"), ("5", "6")]
+
+
+def test_a_conversion_that_is_killed_leaves_nothing_half(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "out")
+    paths = [write(tmp_path / f"{name}.csv", f"x\n{name}\n") for name in "abc"]
+    convert_new(spark, paths[:1], target)
+
+    def read(spark, path):
+        if path == paths[2]:
+            raise KeyboardInterrupt
+        return read_csv(spark, path)
+
+    with pytest.raises(KeyboardInterrupt):
+        convert_new(spark, paths, target, read)
+    assert tuples(read_converted(spark, target)) == [("a",)]
+    monkeypatch.setattr(writers._Files, "publish", lambda *args: 1 / 0)  # killed before the manifest
+    with pytest.raises(ZeroDivisionError):
+        convert_new(spark, paths, target)
+    monkeypatch.undo()
+    assert tuples(read_converted(spark, target)) == [("a",)]
+    assert convert_new(spark, paths, target) == paths[1:]
+    assert sorted(tuples(read_converted(spark, target))) == [("a",), ("b",), ("c",)]
+    assert sum(p.name.startswith("input-") for p in (tmp_path / "out").iterdir()) == 3
