@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civiclens.contracts import BLOCK_PROPERTIES
-from civiclens.operators.profile import dataset_profile
+from civiclens.operators.profile import dataset_profile, value_profile
 from civiclens.sources.readers import (
     load_union,
     parse_csv_lines,
@@ -168,3 +168,20 @@ def test_a_conversion_that_is_killed_leaves_nothing_half(spark, tmp_path, monkey
     assert convert_new(spark, paths, target) == paths[1:]
     assert sorted(tuples(read_converted(spark, target))) == [("a",), ("b",), ("c",)]
     assert sum(p.name.startswith("input-") for p in (tmp_path / "out").iterdir()) == 3
+
+
+def test_values_of_columns(spark):
+    rows = [(str(i), f"{i}.5", "2024-01-05", None, "x" if i % 3 else "yy", float(i)) for i in range(300)]
+    table = spark.createDataFrame(rows, "a STRING, `b c` STRING, d STRING, e STRING, f STRING, g DOUBLE")
+    profile = value_profile(table, frequent=2)
+    assert plan_of(profile).count("Scan") == 1
+    found = {r.column_name: r for r in profile.collect()}
+    assert {n: r.fits for n, r in found.items()} == {
+        "a": "BIGINT", "b c": "DOUBLE", "d": "DATE", "e": None, "f": "STRING", "g": "DOUBLE"
+    }
+    assert [found["a"][n] for n in ("row_count", "non_null_count", "shortest", "longest")] == [300, 300, 1, 3]
+    assert abs(found["a"].distinct_estimate - 300) < 15 and found["e"].distinct_estimate == 0
+    assert [abs(q - want) < 8 for q, want in zip(found["g"].quartiles, (75, 150, 225))] == [True] * 3
+    assert found["f"].quartiles is None and found["f"].frequent[0][0] == "x"
+    empty = {r.column_name: r for r in value_profile(table.limit(0)).collect()}
+    assert all(r.row_count == 0 and r.fits is None and r.quartiles is None for r in empty.values())
