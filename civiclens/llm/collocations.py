@@ -40,6 +40,7 @@ _PARTS = 512
 _PACKED = "bucket bigint, lang string, suffixes binary, n bigint"
 # Rows that are no suffixes: words of a slice, pairs with many suffixes in it.
 _WORDS, _HEAVY = -1, -2
+_SPREAD, _ROUTES = 1 << 32, 1 << 20
 _WEIGHT, _ONE = 0xFFFFFFFF, np.zeros(1, np.int64)
 
 
@@ -350,6 +351,11 @@ def _counted(least: int, longest: int, buckets: int):
                 continue
             sub = keys[:, some]
             sub[0] += lang[some] * len(names)  # the language is part of the first word
+            # A finer route by the same words: one below the least count is abandoned as a whole.
+            route = sub[0] * _SPREAD + (0 if chosen is single else sub[1])
+            route = mix(route.astype(np.uint64)) & np.uint64(_ROUTES - 1)
+            enough = np.bincount(route.astype(np.int64), weights[some])[route.astype(np.int64)] >= least
+            sub, some = sub[:, enough], some[enough]
             for words, suffix, n in three_way(sub, weights[some], least):
                 if not counts(words):
                     continue
