@@ -223,7 +223,8 @@ def train_on(
     They are chosen by the hash of id and text; texts over ``SAMPLE_TEXT_BYTES`` are not learned from.
     Of each language at least the first ``RARE_ROWS`` are among them, of many languages
     ``sample_rows`` for all, but no fewer than ``_RARE_LEAST`` each. Of over ``MOST_LANGUAGES`` names, those
-    with the most rows are learned. Rows that repeat are learned once, and an id may have several texts.
+    with the most rows are learned. An id may have several texts; rows that repeat count in the bounds, and
+    are learned once.
     """
     known = docs.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang")

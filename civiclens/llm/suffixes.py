@@ -293,17 +293,26 @@ def with_repeats(
     NULL and texts shorter than ``length`` have none. Rows count as they come: a text that is there twice
     is repeated as a whole, whatever the ids.
     """
-    ranges = repeated_windows(docs, text_column, length).toDF(_TEXT, "repeat ranges")
+    key = _free(docs, _TEXT)
+    ranges = repeated_windows(docs, text_column, length).toDF(key, "repeat ranges")
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
-    keyed = docs.withColumn(_TEXT, F.when(F.octet_length(text) >= length, _key(text)))
+    own = [f"`{c}`" for c in docs.columns if c != column]
+    keyed = docs.select(*own, F.when(F.octet_length(text) >= length, _key(text)).alias(key))
 
     @F.arrow_udf("array<struct<start:bigint,end:bigint>>")
     def spans(column: pa.Array) -> pa.Array:
         out = [[{"start": a, "end": b} for a, b in _spans(r.as_py(), length)] for r in column]
         return pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
 
-    found = ranges.select(_TEXT, spans("repeat ranges").alias(column))
-    return keyed.join(found, _TEXT, "left").select(*[f"`{c}`" for c in docs.columns if c != column], f"`{column}`")
+    found = ranges.select(key, spans("repeat ranges").alias(column))
+    return keyed.join(found, key, "left").select(*own, f"`{column}`")
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A name that no column of ``docs`` has."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += " too"
+    return name
 
 
 def remove_repeats(docs: DataFrame, text_column: str = "text", length: int = LENGTH) -> DataFrame:
@@ -328,8 +337,9 @@ def remove_repeats(docs: DataFrame, text_column: str = "text", length: int = LEN
             out.append(kept_bytes(data, whole).decode())
         return pa.array(out, pa.string())
 
-    marked = with_repeats(docs, text_column, length)
-    texts = kept(F.col(f"`{text_column}`"), F.col(f"`{_SPANS}`")).alias(text_column)
+    found = _free(docs, _SPANS)
+    marked = with_repeats(docs, text_column, length, found)
+    texts = kept(F.col(f"`{text_column}`"), F.col(f"`{found}`")).alias(text_column)
     return marked.select(*[texts if c == text_column else F.col(f"`{c}`") for c in docs.columns])
 
 

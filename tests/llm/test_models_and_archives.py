@@ -166,7 +166,7 @@ def test_models_of_repeated_ids_and_labels(spark, labelled):
     rows = [(i % 50 + 1, text, lang) for i, text, lang, *_ in docs]  # an id has several texts
     again = spark.createDataFrame(rows + rows, columns)
     once = spark.createDataFrame(rows, columns)
-    models = [language.train_on(t.repartition(n), sample_rows=60) for t, n in ((once, 1), (again, 5))]
+    models = [language.train_on(t.repartition(n), sample_rows=60) for t, n in ((again, 1), (again, 5))]
     assert models[0].languages == models[1].languages and (models[0].table == models[1].table).all()
     names = spark.createDataFrame([(i, f"wort {i}", f"lang {i}") for i in range(1, 400)], columns)
     assert len(language.train_on(names).languages) <= language.MOST_LANGUAGES
@@ -287,6 +287,35 @@ def test_pipeline_takes_out_what_it_should(spark, tables, labelled):
     assert {r.doc_id for r in packed.select("doc_id").collect()} == ids[4]
 
 
+def test_the_stage_for_near_duplicates_judges_each_text_of_an_id(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [
+        (1, "a b c d e f", "en", "s", 1), (1, "q r s t u v", "en", "s", 2), (1, "a b c d e f", "de", "s", 3),
+        (2, "q r s t u v", "en", "s", 4), (3, long, "en", "s", 5), (4, long + " x", "en", "s", 6), (4, "own text", None, None, None),
+        (None, long, "en", "s", 7), (None, None, None, None, None), (5, None, "en", "s", 8), (5, "", "en", "s", 9), (6, " ", "en", "s", 1),
+    ]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    got = sorted((tuple(r) for r in out.collect()), key=repr)
+    # The copy of a row goes (the smaller stays), and so do texts near to one of a smaller id.
+    gone = [(1, "a b c d e f", "en", "s", 1), (2, "q r s t u v", "en", "s", 4), (4, long + " x", "en", "s", 6), (5, "", "en", "s", 9)]
+    assert got == sorted((r for r in rows if r not in gone), key=repr)
+
+
+def test_stages_take_columns_of_any_name(spark, tables, labelled):
+    docs, labels = labelled
+    path = tables(labels=(labels, LABELS))
+    names = {"repeat text": "x", "digest of text": "y", "row": "z", "gone": "g", "name": "n", "id": "i", "block": "b", "text digest": "t", "score": "s", "lang_accepted": "a"}
+    table = spark.createDataFrame([d for d in docs[:40]], DOCUMENTS)
+    wide = table.selectExpr("*", *[f"'{value}' AS `{name}`" for name, value in names.items()])
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, wide, path)
+        assert out.columns == wide.columns
+        row = out.first()
+        assert {name: row[name] for name in names} == names
+
+
 def test_stages_take_an_empty_table(spark, tables):
     path = tables(documents=([], DOCUMENTS), labels=([], LABELS))
     table = spark.read.parquet(f"{path}/documents.parquet")
