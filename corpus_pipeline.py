@@ -13,16 +13,18 @@ from civiclens.llm import language, minhash, packing, suffixes, toxicity
 from civiclens.llm.tables import read_table, written
 
 ORACLE_SQL = None
-_SCORE = "toxicity score"
-_FOUND = "found language "
-_TEXT, _ROW = "digest of text", "row"
+
+
+def _nested(docs: DataFrame) -> DataFrame:
+    """Texts, with all columns as one, so that no name of theirs meets one of ours."""
+    return docs.select("text", F.struct(*[f"`{column}`" for column in docs.columns]).alias("row"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that compression distance calls toxic (score of 0.5 or more)."""
     model = toxicity.train_on(docs, read_table(spark, sf_dir, "labels"))
-    scored = toxicity.score_documents(docs, model, score_column=_SCORE)
-    return scored.filter(F.col(f"`{_SCORE}`") < 0.5).drop(_SCORE)
+    scored = toxicity.score_documents(_nested(docs), model, score_column="score")
+    return scored.filter("score < 0.5").select("row.*")
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +35,8 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     model = language.train_on(docs)
     if model is None:
         return docs
-    named = language.identify(docs, model, prefix=_FOUND)
-    return named.filter(F.col(f"`{_FOUND}accepted`")).select(*[f"`{c}`" for c in docs.columns])
+    named = language.identify(_nested(docs), model, prefix="lang_")
+    return named.filter("lang_accepted").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,22 +47,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     document, of which the row with the smallest values stays. Rows with a NULL id stay. Only
     ids that go are joined with the documents.
     """
-    text = F.md5(F.coalesce("text", F.lit("")))
-    name = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", text.alias("text")))
-    named = docs.select(name.alias("name"), "text")
-    judged = written(minhash.near_duplicates(named, "name"), "near-duplicates")
-    gone = judged.filter("not kept").select("name.*").distinct()
-    same = [F.col("doc_id") == F.col("gone.doc_id"), text == F.col("gone.text")]
-    columns = [f"`{name}`" for name in docs.columns]
-    left = docs.select(*columns).join(gone.select(F.struct("doc_id", "text").alias("gone")), same, "left_anti")
-    repeated = judged.filter("name is not null").groupBy("name").count().filter("count > 1")
-    repeated = written(repeated.select("name.*"), "repeated rows")
-    if repeated.isEmpty():
-        return left
-    again = repeated.select(F.struct("doc_id", "text").alias("gone"))
-    firsts = left.join(again, same, "left_semi").groupBy("doc_id", text.alias(_TEXT))
-    firsts = firsts.agg(F.min(F.struct(*columns)).alias(_ROW)).select(f"`{_ROW}`.*")
-    return left.join(again, same, "left_anti").unionByName(firsts)
+    text = F.md5(F.coalesce("text", F.lit(""))).alias("text")
+    name = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", text)).alias("name")
+    judged = written(minhash.near_duplicates(docs.select(name, "text"), "name"), "near-duplicates")
+    gone = judged.filter("not kept").select("name").distinct()
+    named = F.when(F.col("row.doc_id").isNotNull(), F.struct("row.doc_id", text)).alias("name")
+    rows = _nested(docs).select(named, "row")
+    left = rows.join(gone, "name", "left_anti")
+    again = judged.filter("name is not null").groupBy("name").count().filter("count > 1").select("name")
+    again = written(again, "repeated rows")
+    if again.isEmpty():
+        return left.select("row.*")
+    firsts = left.join(again, "name", "left_semi").groupBy("name").agg(F.min("row").alias("row"))
+    return left.join(again, "name", "left_anti").unionByName(firsts).select("row.*")
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +69,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     left = suffixes.remove_repeats(docs)
     counted = F.coalesce(F.length("text").cast("bigint"), F.lit(0).cast("bigint"))
-    return left.withColumn("n_chars", counted).select(*docs.columns)
+    return left.withColumn("n_chars", counted).select(*[f"`{column}`" for column in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
