@@ -48,22 +48,47 @@ def equi_join(
     return (left.hint(strategy) if strategy else left).join(right, on)
 
 
+def frequent_keys(df: DataFrame, on: Sequence[str], share: int) -> DataFrame:
+    """Keys that hold over ``1 / share`` of the rows without a missing key, and no more than ``share`` keys.
+
+    Found in one scan by a mergeable sketch of frequent items: each task sends one, of a fixed size. It
+    counts no key too low, so none over the bound is missed, and too high by less than a third of the bound, so
+    that a key somewhat below it may be among them.
+    """
+    keys = df.dropna(subset=list(on)).select(F.to_json(F.struct(*on)).alias("key"))
+    tracked = max(1024, 32 * share)
+    top = keys.agg(F.count("*").alias("rows"), F.expr(f"approx_top_k(key, {share}, {tracked})").alias("top")).first()
+    some = [item["item"] for item in top["top"] or () if item["count"] * share > top["rows"]]
+    kind = df.select(*on).schema
+    texts = df.sparkSession.createDataFrame([(text,) for text in some], "key STRING")
+    return texts.select(F.inline(F.array(F.from_json("key", kind))))
+
+
+def choose_strategy(
+    left: DataFrame, right: DataFrame, on: Sequence[str], *, broadcast_rows: int = BROADCAST_ROWS, hot_share: int = HOT_SHARE
+) -> tuple[str, DataFrame]:
+    """The strategy of :func:`equi_join` that the data call for, and the hot keys of ``right``.
+
+    ``BROADCAST`` if ``left`` has few rows; else ``REPLICATE_HOT_KEYS`` if ``right`` has hot keys, or ``MERGE``.
+    """
+    hot = frequent_keys(right, on, hot_share)
+    if fits(left, broadcast_rows):
+        return "BROADCAST", hot
+    return ("MERGE" if hot.isEmpty() else "REPLICATE_HOT_KEYS"), hot
+
+
 def hot_key_join(
     many: DataFrame, one: DataFrame, on: Sequence[str], *, hot_share: int = HOT_SHARE
 ) -> DataFrame:
     """Inner join of ``many`` rows per key with ``one`` row per key, safe for hot keys.
 
-    A key is hot if it holds over ``1 / hot_share`` of ``many``, so fewer than
-    ``hot_share`` keys are. They are counted and written first, and so are their
-    rows of ``one``: if these are more than the keys, ``one`` is not unique and a
-    ``ValueError`` is raised. Else they are replicated to every task, and their rows of
-    ``many`` stay where they are; the rest is shuffled.
+    A key is hot if it holds over ``1 / hot_share`` of ``many``, by :func:`frequent_keys`, so no more than
+    ``hot_share`` keys are. Their rows of ``one`` are written first: if these are more than the
+    keys, ``one`` is not unique and a ``ValueError`` is raised. Else they are replicated to every task, and
+    their rows of ``many`` stay where they are; the rest is shuffled.
     """
     on = list(on)
-    rows = "rows of the key"
-    counts = materialise(many.groupBy(*on).agg(F.count("*").alias(rows)), "key-counts")
-    total = counts.agg(F.sum(rows)).first()[0] or 0
-    hot = counts.filter(F.col(rows) * hot_share > total).select(*on)
+    hot = frequent_keys(many, on, hot_share)
     n_hot = hot.count()
     if not n_hot:
         return many.join(one, on)

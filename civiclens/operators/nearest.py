@@ -38,6 +38,7 @@ MAX_VECTOR_SITES = 256
 # ground, less than coordinates tell apart. There are 529 cells of the first side at most.
 _CELL_SIDES = tuple(16.0 / 4**level for level in range(16))
 _FIRST_CELLS = 256
+_ESTIMATED = 9
 # Pairs of cells and sites that a step may make to save steps between.
 _PAIRS = 2_000_000
 _SITES_PER_POINT = 8
@@ -197,13 +198,15 @@ def _coarser(level: int) -> dict[str, Column]:
 
 def _first_level(fine: DataFrame) -> tuple[int, int, list[int]]:
     """Last level that has few cells, by an estimate, number of points, and the estimated cells per level."""
-    levels = range(len(_CELL_SIDES))
+    levels = range(_ESTIMATED)
     counts = fine.agg(
         F.sum("cell_points"),
-        *[F.approx_count_distinct(F.struct(*_coarser(level).values())) for level in levels],
+        F.count("*"),
+        *[F.approx_count_distinct(F.xxhash64(*_coarser(level).values())) for level in levels],
     ).first()
-    few = [level for level in levels if counts[1 + level] <= _FIRST_CELLS]
-    return max(few, default=0), counts[0] or 0, list(counts[1:])
+    few = [level for level in levels if counts[2 + level] <= _FIRST_CELLS]
+    below = [counts[1]] * (len(_CELL_SIDES) - _ESTIMATED)  # no more than there are smallest cells
+    return max(few, default=0), counts[0] or 0, [*counts[2:], *below]
 
 
 def _candidates(points: DataFrame, sites: DataFrame) -> tuple[DataFrame, float, bool]:

@@ -20,7 +20,7 @@ from civiclens.operators.aggregates import (
     sum_by,
     unfold_copies,
 )
-from civiclens.operators.joins import STRATEGIES, grid_join, strategy_matrix
+from civiclens.operators.joins import STRATEGIES, choose_strategy, equi_join, grid_join, strategy_matrix
 from civiclens.operators.nearest import METHODS, nearest_site, nearest_summary
 from civiclens.operators.numbering import dense_keys
 from civiclens.operators.profile import dataset_profile, value_profile
@@ -228,6 +228,18 @@ def join_hot_both_sides(spark, folder):
     return met.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.col("customer") * F.col("supplier")).alias("total"))
 
 
+def join_chosen(spark, folder):
+    """A third of all orders has one key; with the strategy that the data call for if nothing may be broadcast."""
+    key = F.when(F.col("o_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.col("o_orderkey") % 50).alias("key")
+    orders = _table(spark, folder, "orders").select(key, F.col("o_custkey").alias("customer"))
+    keys = orders.select("key").distinct().withColumn("weight", F.col("key") + 2)
+    strategy, hot = choose_strategy(keys, orders, ["key"], broadcast_rows=0, hot_share=10)
+    joined = equi_join(keys, orders, ["key"], strategy, hot_share=10)
+    sums = joined.agg(F.count("*").alias("n"), F.sum(F.col("customer") * F.col("weight")).alias("checksum"))
+    hot = hot.agg(F.array_join(F.sort_array(F.collect_list(F.col("key").cast("string"))), ",").alias("hot_keys"))
+    return sums.select(F.lit(strategy).alias("strategy"), hot.scalar().alias("hot_keys"), "n", "checksum")
+
+
 def sites_within_km(spark, folder):
     pairs = pairs_within(_known_points(spark, folder), inputs.depots(spark, folder), WITHIN_KM)
     return pairs.select("id", "site", F.round("dist_km", 6).alias("dist_km"))
@@ -564,6 +576,7 @@ QUERIES = {
     "exact_means": exact_means,
     "value_profile": profile_of_values,
     "join_hot_both_sides": join_hot_both_sides,
+    "join_chosen": join_chosen,
     "sites_within_km": sites_within_km,
     "convert_resumed": convert_resumed,
     "load_union": load_union_by_name,

@@ -142,6 +142,9 @@ ORACLES = {
         s AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN -1 ELSE s_suppkey % 50 END AS key, s_suppkey FROM supplier)
         SELECT key, count(*) AS n, CAST(sum(customer * s_suppkey) AS BIGINT) AS total
         FROM o JOIN s USING (key) GROUP BY key""",
+    "join_chosen": """SELECT 'REPLICATE_HOT_KEYS' AS strategy, '-1' AS hot_keys, count(*) AS n,
+        CAST(sum(o_custkey * (key + 2)) AS BIGINT) AS checksum
+        FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_orderkey % 50 END AS key FROM orders)""",
     "sites_within_km": _with("points", "depots", known=_KNOWN)
     + f"""SELECT id, site, round(dist_km, 6) AS dist_km FROM (
           SELECT id, site, {_haversine("p.lat", "p.lon", "s.lat", "s.lon")} AS dist_km

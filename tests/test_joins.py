@@ -3,7 +3,15 @@ from pyspark.sql import functions as F
 
 from civiclens.operators import aggregates
 from civiclens.operators.aggregates import fold_copies, unfold_copies
-from civiclens.operators.joins import STRATEGIES, equi_join, fits, hot_key_join, strategy_matrix
+from civiclens.operators.joins import (
+    STRATEGIES,
+    choose_strategy,
+    equi_join,
+    fits,
+    frequent_keys,
+    hot_key_join,
+    strategy_matrix,
+)
 from plans_helper import plan_of
 
 
@@ -90,6 +98,28 @@ def test_hot_key_join_of_nothing(sides):
     assert hot_key_join(right, left.filter("id < 0"), ["zip"]).count() == 0
 
 
+def test_frequent_keys_by_one_scan(spark, sides):
+    left, right = sides
+    found = frequent_keys(right, ["zip"], 4)
+    assert [tuple(r) for r in found.collect()] == [("00007",)]
+    two = right.select(F.struct("zip").alias("s"), "zip", F.lit(1).alias("one b"))
+    assert [tuple(r) for r in frequent_keys(two, ["zip", "one b"], 4).collect()] == [("00007", 1)]
+    assert frequent_keys(right, ["zip"], 2).count() == 0
+    assert frequent_keys(right.limit(0), ["zip"], 10).count() == 0
+
+
+def test_the_data_choose_the_strategy(sides):
+    left, right = sides
+    even = right.filter("zip <> '00007'")
+    choices = {
+        (name, rows): choose_strategy(left, many, ["zip"], broadcast_rows=rows, hot_share=4)[0]
+        for name, many in (("hot", right), ("even", even)) for rows in (10, 100)
+    }
+    assert choices == {
+        ("hot", 10): "REPLICATE_HOT_KEYS", ("even", 10): "MERGE", ("hot", 100): "BROADCAST", ("even", 100): "BROADCAST",
+    }
+
+
 def test_matrix_labels_each_strategy(sides):
     left, right = sides
     matrix = strategy_matrix(
