@@ -90,8 +90,6 @@ def hot_key_join(
     on = list(on)
     hot = frequent_keys(many, on, hot_share)
     n_hot = hot.count()
-    if not n_hot:
-        return many.join(one, on)
     hot = F.broadcast(hot)
     few = materialise(one.join(hot, on, "left_semi"), "hot-rows")
     if not fits(few, n_hot):
