@@ -198,14 +198,14 @@ def _coarser(level: int) -> dict[str, Column]:
 
 def _first_level(fine: DataFrame) -> tuple[int, int, list[int]]:
     """Last level that has few cells, by an estimate, number of points, and the estimated cells per level."""
-    levels = range(_ESTIMATED)
+    levels = range(min(_ESTIMATED, len(_CELL_SIDES)))
     counts = fine.agg(
         F.sum("cell_points"),
         F.count("*"),
         *[F.approx_count_distinct(F.xxhash64(*_coarser(level).values())) for level in levels],
     ).first()
     few = [level for level in levels if counts[2 + level] <= _FIRST_CELLS]
-    below = [counts[1]] * (len(_CELL_SIDES) - _ESTIMATED)  # no more than there are smallest cells
+    below = [counts[1]] * (len(_CELL_SIDES) - len(levels))  # no more than there are smallest cells
     return max(few, default=0), counts[0] or 0, [*counts[2:], *below]
 
 
