@@ -206,9 +206,14 @@ def _count_links(links: DataFrame, units: DataFrame, copies: DataFrame) -> tuple
         .agg(F.collect_list(F.struct("id", "copies", "unit")).alias("members")),
         "blocks",
     )
-    one, two = blocks.toDF("component", "block_a", "a"), blocks.toDF("component", "block_b", "b")
-    pairs = one.join(two, "component").filter("block_a <= block_b")
-    counted = pairs.select("a", "b", (F.col("block_a") == F.col("block_b")).alias("same"))
+    # Blocks are dealt by the pair they make with each other, so a large component is many tasks.
+    last = blocks.groupBy("component").agg(F.max("block").alias("last"))
+    dealt = blocks.join(last, "component").withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), "last")))
+    pair = ["component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
+    one = dealt.filter("block <= other").select(*pair, F.col("members").alias("a"))
+    two = dealt.filter("block >= other").select(*pair, F.col("members").alias("b"))
+    pairs = one.join(two, ["component", "low", "high"])
+    counted = pairs.select("a", "b", (F.col("low") == F.col("high")).alias("same"))
     counted = counted.mapInArrow(_count_in_blocks, "id bigint, links bigint")
     return parts, written(counted.groupBy("id").agg(F.sum("links").alias("links")), "links")
 
