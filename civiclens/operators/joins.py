@@ -48,6 +48,12 @@ def equi_join(
     return (left.hint(strategy) if strategy else left).join(right, on)
 
 
+def feasible(left: DataFrame, strategy: str | None, *, broadcast_rows: int = BROADCAST_ROWS) -> str | None:
+    """The strategy, or ``MERGE`` in place of a ``BROADCAST`` of over ``broadcast_rows`` rows: the same rows by a
+    shuffle that spills, for tables that grow past what every executor can hold."""
+    return "MERGE" if strategy == "BROADCAST" and not fits(left, broadcast_rows) else strategy
+
+
 def frequent_keys(df: DataFrame, on: Sequence[str], share: int) -> DataFrame:
     """Keys that hold over ``1 / share`` of the rows without a missing key, and no more than ``share`` keys.
 

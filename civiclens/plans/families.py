@@ -31,7 +31,7 @@ from civiclens.operators.aggregates import (
     unfold_copies,
     weighted_ratio,
 )
-from civiclens.operators.joins import equi_join
+from civiclens.operators.joins import equi_join, feasible
 from civiclens.operators.ranking import top_k, top_n_per_group
 from civiclens.sources.readers import (
     load_union,
@@ -242,10 +242,11 @@ def zip_income(
     """ZIPs with their incomes, identical rows folded into a count.
 
     A ZIP that the income table repeats comes out as often. Identical incomes
-    are folded before the join, so a repeated ZIP is joined once per income.
+    are folded before the join, so a repeated ZIP is joined once per income. Too many
+    ZIPs for ``BROADCAST`` are joined by ``MERGE``.
     """
     left, right = by_zip(blocks, strict=strict), fold_copies(income)
-    return equi_join(left, right, ["zip"], strategy)
+    return equi_join(left, right, ["zip"], feasible(left, strategy))
 
 
 def per_capita(

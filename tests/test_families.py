@@ -5,8 +5,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from civiclens.operators import joins
 from civiclens.plans import families
 from civiclens.sources.writers import csv_to_parquet
+from plans_helper import plan_of
 
 CRIMES_A = """DR_NO,DATE OCC,TIME OCC,Premis Desc,LAT,LON
 1,2010 Jan 01 12:00:00 AM,0045,STREET,34.0,-118.2
@@ -191,3 +193,18 @@ def test_a_row_with_very_many_copies_is_not_unfolded(spark, monkeypatch):
     schema = "zip STRING, total_pop BIGINT, total_households BIGINT, median_income INT, per_capita_income DOUBLE, copies BIGINT"
     monkeypatch.setattr(families, "_per_capita_rows", lambda *_: spark.createDataFrame(rows, schema))
     assert [row["zip"] for row in families.top_per_capita(None, None, 3).collect()] == ["z"] * 3
+
+
+def test_more_zips_than_may_be_broadcast(spark, monkeypatch):
+    """All rows come out by another join; within the bound the hint stays."""
+    blocks = spark.range(40).selectExpr("lpad(CAST(id AS STRING), 5, '0') AS zip", "id + 1 AS pop", "id AS households")
+    income = blocks.selectExpr("zip", "CAST(households AS INT) AS median_income").union(
+        spark.createDataFrame([("00007", 5)], "zip STRING, median_income INT")
+    )
+    want = sorted(map(tuple, families.zip_income(blocks, income).collect()))
+    monkeypatch.setitem(joins.feasible.__kwdefaults__, "broadcast_rows", 39)
+    many = families.zip_income(blocks, income, "BROADCAST")
+    assert sorted(map(tuple, many.collect())) == want and len(want) == 41
+    assert "SortMergeJoin" in plan_of(many)
+    monkeypatch.setitem(joins.feasible.__kwdefaults__, "broadcast_rows", 40)
+    assert "BroadcastHashJoin" in plan_of(families.zip_income(blocks, income, "BROADCAST"))
