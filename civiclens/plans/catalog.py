@@ -26,7 +26,7 @@ from civiclens.operators.numbering import dense_keys
 from civiclens.operators.profile import dataset_profile, value_profile
 from civiclens.operators.within import pairs_within
 from civiclens.plans import families, inputs
-from civiclens.scratch import scratch_path
+from civiclens.scratch import materialise, scratch_path
 from civiclens.sources.readers import (
     load_union,
     parse_csv_lines,
@@ -220,12 +220,24 @@ def exact_means(spark, folder):
 
 
 def join_hot_both_sides(spark, folder):
-    """A third of the rows of either side have one key; rows and sums per key of what meets."""
+    """A third of the rows of either side have one key; rows and sums per key of what meets.
+
+    A sum over pairs is one over the right rows of each times the left sum of its key, so the left rows of a key are
+    summed before they meet and no pair is made of them. Sums are exact, as decimals; they are BIGINT unless one
+    is beyond it.
+    """
     hot = lambda number: F.when(number % 3 == 0, F.lit(-1)).otherwise(number % 50).alias("key")
     orders = _table(spark, folder, "orders").select(hot(F.col("o_orderkey")), F.col("o_custkey").alias("customer"))
     parts = _table(spark, folder, "supplier").select(hot(F.col("s_suppkey")), F.col("s_suppkey").alias("supplier"))
-    met = grid_join(orders, parts, ["key"])
-    return met.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.col("customer") * F.col("supplier")).alias("total"))
+    whole = lambda name: F.col(name).cast("decimal(19,0)")
+    left = orders.groupBy("key").agg(F.count("*").alias("orders"), F.sum(whole("customer")).alias("customers"))
+    met = grid_join(left, parts, ["key"])
+    sums = met.groupBy("key").agg(
+        F.sum("orders").alias("n"), F.sum((F.col("customers") * whole("supplier")).cast("decimal(38,0)")).alias("total")
+    )
+    sums = materialise(sums, "sums")  # a row per key
+    fit = sums.agg(F.bool_and(F.col("total").between(-(2**63), 2**63 - 1))).first()[0]
+    return sums.withColumn("total", F.col("total").cast("bigint")) if fit in (True, None) else sums
 
 
 def join_chosen(spark, folder):

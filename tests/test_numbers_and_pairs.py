@@ -13,6 +13,7 @@ from civiclens.operators.aggregates import exact_mean_and_count_by
 from civiclens.operators.joins import grid_join
 from civiclens.operators.numbering import dense_keys
 from civiclens.operators.within import pairs_within
+from civiclens.plans.catalog import join_hot_both_sides
 
 
 def test_numbers_are_ranks_however_rows_are_parted(spark, monkeypatch):
@@ -73,6 +74,24 @@ def test_cells_of_a_hot_key_are_even(spark, monkeypatch):
     assert max(r["count"] for r in tasks) < 3 * 3_000_000 / 8
 
 
+def test_sums_of_pairs_beyond_a_bigint_are_exact(spark, tmp_path):
+    """The right rows times the left sums; both sides hot, sums beyond and within 64 bits."""
+    for scale, kind in ((1, "bigint"), (10**13, "decimal(38,0)")):
+        folder = str(tmp_path / kind[:3])
+        spark.range(3_000).selectExpr("id AS o_orderkey", f"id % 700 * {scale} AS o_custkey").write.parquet(f"{folder}/orders.parquet")
+        spark.range(900).selectExpr("IF(id % 9 = 4, NULL, id) AS s_suppkey").write.parquet(f"{folder}/supplier.parquet")
+        want = {}
+        key = lambda n: -1 if n % 3 == 0 else n % 50
+        for o in range(3_000):
+            for s in range(900):
+                if s % 9 != 4 and key(o) == key(s):
+                    n, total = want.get(key(o), (0, 0))
+                    want[key(o)] = n + 1, total + o % 700 * scale * s
+        found = join_hot_both_sides(spark, folder)
+        assert dict(found.dtypes) == {"key": "bigint", "n": "bigint", "total": kind}
+        assert {r.key: (r.n, int(r.total)) for r in found.collect()} == want
+
+
 PLACES = [
     (0.0, 0.0), (0.0, 0.02), (10.0, 179.99), (10.0, -179.99), (10.0, 180.0), (89.99, 10.0), (89.99, -170.0), (90.0, 0.0),
     (-90.0, 5.0), (-89.98, 100.0), (45.0, 45.0), (45.0, 405.0), (45.01, 45.0), (91.0, 0.0), (None, 1.0), (math.nan, 1.0),
