@@ -3,12 +3,14 @@
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civiclens import contracts
+from civiclens.scratch import discard, materialise
 from civiclens.sources.readers import read_csv, read_features
 
 FEATURES_PER_FILE = 50_000
@@ -162,7 +164,8 @@ def write_features(df: DataFrame, path: str, number: str) -> None:
 def write_feature_document(df: DataFrame, path: str, number: str) -> None:
     """Write rows as one GeoJSON document in one file, in order of ``number``.
 
-    The document is written feature by feature by a last task, which holds none of it in memory.
+    Many tasks sort the features and write them in parts; a last task takes these in their order, feature by
+    feature. It sorts nothing, so it holds none of the document in memory however large that is.
     """
     rows = df.select(F.struct(F.lit(1).alias("part"), F.col(f"`{number}`").alias("at")).alias("place"),
                      F.to_json(_feature(df, number)).alias("value"))
@@ -175,5 +178,13 @@ def write_feature_document(df: DataFrame, path: str, number: str) -> None:
     ends = ends.select(
         F.struct("part", F.lit(None).cast(df.schema[number].dataType).alias("at")).alias("place"), "value"
     )
-    ordered = rows.unionByName(ends).orderBy("place", "value")
-    ordered.coalesce(1).select("value").write.option("lineSep", " ").text(path)
+    parts = materialise(rows.unionByName(ends).orderBy("place", "value").select("value"), "sorted-features")
+    _in_order(parts).coalesce(1).write.option("lineSep", " ").text(path)
+    discard(parts)
+
+
+def _in_order(parts: DataFrame) -> DataFrame:
+    """A written table, its files in the order of the tasks that wrote them."""
+    files = sorted((name.rsplit("/", 1)[-1] for name in parts.inputFiles()), key=lambda n: (int(n.split("-")[1]), n))
+    reader = parts.sparkSession.read.schema(parts.schema)
+    return reduce(DataFrame.union, [reader.parquet(f"{parts.scratch_path}/{name}") for name in files])

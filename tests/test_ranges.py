@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 
 from civiclens.sources.readers import read_csv, read_csv_by_ranges, read_features, read_features_by_ranges, read_lines
 from civiclens.sources.ranges import document_features, quoted_lines
+from civiclens.sources import writers
 from civiclens.sources.writers import write_feature_document, write_features
+from plans_helper import plan_of
 
 
 def tuples(df):
@@ -127,6 +129,26 @@ def test_a_document_is_written_as_one_file(spark, tmp_path, ranges):
     assert tuples(read_features_by_ranges(spark, empty, PROPERTIES)) == []
 
 
+def test_the_task_that_writes_a_document_sorts_nothing(spark, tmp_path, monkeypatch):
+    """Parts of many tasks, more than nine, in their order; the last plan has no sort."""
+    plans = []
+    read = writers._in_order
+    monkeypatch.setattr(writers, "_in_order", lambda parts: plans.append(read(parts)) or plans[0])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        rows = spark.range(5_000).selectExpr("4999 - id AS at", "id % 7 AS n").repartition(5)
+        write_feature_document(rows, str(tmp_path / "out"), "at")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    (file,) = (tmp_path / "out").glob("part-*")
+    features = json.loads(file.read_text())["features"]
+    assert [f["properties"]["n"] for f in features] == [(4999 - at) % 7 for at in range(5_000)]
+    plan = plan_of(plans[0])
+    assert "Sort" not in plan and "Exchange" not in plan and plan.count("Scan parquet") > 9
+
+
 def test_features_without_numbers_are_not_gathered(spark, tmp_path):
     rows = spark.range(60_000).selectExpr("CAST(NULL AS BIGINT) AS at", "id")
     with pytest.raises(ValueError, match="missing or repeated"):
