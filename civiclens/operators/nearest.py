@@ -11,8 +11,7 @@ all sites as rows:
     Up to ``MAX_VECTOR_SITES`` sites travel with the task. One pass over the
     points, in Arrow batches, and no shuffle.
 ``array``
-    The same in SQL functions only: the sites are an array column. Many times
-    slower, since functions over array elements are interpreted.
+    The same in SQL functions only: an array with the distance of every site. Slower.
 ``grid``
     Any number of sites. Points meet the few sites that can be nearest within
     their cell by an equi-join on the cell, and these few in Arrow batches.
@@ -72,7 +71,7 @@ def nearest_site(points: DataFrame, sites: DataFrame, method: str | None = None)
     elif not few:
         nearest = _with_nearest(points, F.lit(None).cast("struct<dist_km double, site string>"))
     elif method == "array":
-        nearest = _nearest_by_array(points, sites)
+        nearest = _nearest_by_array(points, few)
     else:
         nearest = _nearest_by_vector(points, few)
     return nearest.select("point.*", "site", "dist_km")
@@ -170,17 +169,17 @@ def _nearest_listed():
     return nearest
 
 
-def _nearest_by_array(points: DataFrame, sites: DataFrame) -> DataFrame:
-    listed = sites.agg(F.collect_list(F.struct("site", "site_lat", "site_lon")))
-    dist = F.transform(
-        "sites",
-        lambda s: F.struct(
-            haversine_km(F.col("lat"), F.col("lon"), s.site_lat, s.site_lon).alias("dist_km"),
-            s.site.alias("site"),
-        ),
-    )
-    placed = points.withColumn("sites", listed.scalar())
-    return _with_nearest(placed, F.array_min(dist)).drop("sites")
+def _nearest_by_array(points: DataFrame, sites: list[Row]) -> DataFrame:
+    """A distance per site, each an expression of its own: these are compiled, functions over elements are not."""
+    each = [
+        F.struct(
+            haversine_km(F.col("lat"), F.col("lon"), F.lit(s.site_lat), F.lit(s.site_lon)).alias("dist_km"),
+            F.lit(s.site).alias("site"),
+        )
+        for s in sites
+    ]
+    placed = points.withColumn("nearest", F.array_min(F.array(*each)))
+    return _with_nearest(placed, F.col("nearest")).drop("nearest")
 
 
 def _cell_index(degrees: str, side: float) -> Column:

@@ -195,3 +195,15 @@ def test_haversine_is_symmetric_and_zero_on_equal_points(spark, pairs):
     ).collect():
         assert there == pytest.approx(back) and same == 0
         assert there == pytest.approx(km(*ends), abs=1e-3)
+
+
+def test_the_array_method_is_compiled(spark):
+    """No function over array elements, which Spark interprets; ties over all sites go to the smaller name."""
+    sites = [(f"s{99 - i:02}", 10 + i % 5, 20.0) for i in range(30)]
+    table = frames(spark, [(10 + i / 3, 20.5) for i in range(15)] + [(None, 1)], sites)
+    found = nearest_site(*table, "array")
+    assert "transform(" not in plan_of(found) and "lambda" not in plan_of(found)
+    by = {m: {r.id: (r.site, r.dist_km) for r in nearest_site(*table, m).collect()} for m in ("vector", "array")}
+    assert len(by["array"]) == 15 and by["array"].keys() == by["vector"].keys()
+    for i, (site, dist) in by["array"].items():
+        assert site == by["vector"][i][0] and dist == pytest.approx(by["vector"][i][1], abs=1e-9)
