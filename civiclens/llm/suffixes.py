@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 
 from civiclens.llm.tables import read_table, written
 from civiclens.scratch import discard
-from civiclens.llm.texts import RollingHash, flat, slices
+from civiclens.llm.texts import RollingHash, flat, release_memory, slices
 
 LENGTH = 200
 _PIECE = 1 << 19
+_OUT_BYTES = 1 << 22  # text whose results go out together
 _AT = np.uint64((1 << 20) - 1)
 _TEXT = "repeat text"
 _SPANS = "repeat spans"
@@ -105,8 +106,12 @@ def _grams(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length)
         for batch in batches:
-            grams = anchors.of(*flat(batch.column(0)), contents=False)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64))], ["gram"])
+            data, offsets = flat(batch.column(0))
+            for start, end in slices(offsets, _OUT_BYTES):
+                part = offsets[start : end + 1]
+                grams = anchors.of(data[part[0] : part[-1]], part - part[0], contents=False)[0]
+                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64))], ["gram"])
+            release_memory()
 
     return run
 
@@ -118,13 +123,18 @@ def _contexts(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length)
         for batch in batches:
-            gram, row, first, far, windows, one, two = anchors.of(*flat(batch.column(1)), contents=True)
-            place = first << 16 | far << 8 | windows
-            hashes = [pa.array(x.view(np.int64)) for x in (gram, one, two)]
-            keys = batch.column(0).take(pa.array(row.astype(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [*hashes, keys, pa.array(place.astype(np.int64))], ["gram", "one", "two", "text", "place"]
-            )
+            data, offsets = flat(batch.column(1))
+            for start, end in slices(offsets, _OUT_BYTES):
+                part = offsets[start : end + 1]
+                found = anchors.of(data[part[0] : part[-1]], part - part[0], contents=True)
+                gram, row, first, far, windows, one, two = found
+                place = first << 16 | far << 8 | windows
+                hashes = [pa.array(x.view(np.int64)) for x in (gram, one, two)]
+                keys = batch.column(0).take(pa.array(row.astype(np.int64) + start))
+                yield pa.RecordBatch.from_arrays(
+                    [*hashes, keys, pa.array(place.astype(np.int64))], ["gram", "one", "two", "text", "place"]
+                )
+            release_memory()
 
     return run
 
@@ -132,21 +142,30 @@ def _contexts(length: int):
 def _cut_out(length: int):
     """(text, places with the number of their context) to the bytes of each context."""
 
+    def table(names: list, heavy: list, out: list) -> pa.RecordBatch:
+        columns = list(zip(*names)) or [[]] * 3
+        kinds = [pa.int64(), pa.int64(), pa.int64()]
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+        arrays += [pa.array(heavy, pa.bool_()), pa.array(out, pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, ["one", "two", "windows", "heavy", "bytes"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, heavy, out = [], [], []
+            names, heavy, out, size = [], [], [], 0
             for text, places in zip(batch.column(0), batch.column(1)):
                 data = text.as_py().encode()
-                for place in places.as_py():
+                for place in places:
+                    place = place.as_py()
                     first, windows = place["place"] >> 16, place["place"] & 0xFF
                     names.append((place["one"], place["two"], windows))
                     heavy.append(place["weight"] > 1)
                     out.append(data[first : first + windows + length - 1])
-            columns = list(zip(*names)) or [[]] * 3
-            kinds = [pa.int64(), pa.int64(), pa.int64()]
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            arrays += [pa.array(heavy, pa.bool_()), pa.array(out, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["one", "two", "windows", "heavy", "bytes"])
+                    size += windows + length - 1
+                    if size >= _OUT_BYTES:
+                        yield table(names, heavy, out)
+                        names, heavy, out, size = [], [], [], 0
+            yield table(names, heavy, out)
+            release_memory()
 
     return run
 
@@ -175,6 +194,7 @@ def _positions(length: int, second: bool):
                     columns.append(rolling.of(sums, at + half, at + length).view(np.int64))
                 names = ["position", "rank", "rank_ahead"][: len(columns)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+            release_memory()
 
     return run
 
@@ -302,7 +322,9 @@ def with_repeats(
     @F.arrow_udf("array<struct<start:bigint,end:bigint>>")
     def spans(column: pa.Array) -> pa.Array:
         out = [[{"start": a, "end": b} for a, b in _spans(r.as_py(), length)] for r in column]
-        return pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+        out = pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+        release_memory()
+        return out
 
     found = ranges.select(key, spans("repeat ranges").alias(column))
     return keyed.join(found, key, "left").select(*own, f"`{column}`")
@@ -321,7 +343,8 @@ def remove_repeats(docs: DataFrame, text_column: str = "text", length: int = LEN
     @F.arrow_udf("string")
     def kept(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
-        for text, found in zip(texts.to_pylist(), spans.to_pylist()):
+        for text, found in zip(texts, spans):
+            text, found = text.as_py(), found.as_py()
             if not text or not found:
                 out.append(text)
                 continue
@@ -335,7 +358,9 @@ def remove_repeats(docs: DataFrame, text_column: str = "text", length: int = LEN
                     end -= 1
                 whole.append((start, end))
             out.append(kept_bytes(data, whole).decode())
-        return pa.array(out, pa.string())
+        out = pa.array(out, pa.string())
+        release_memory()
+        return out
 
     found = _free(docs, _SPANS)
     marked = with_repeats(docs, text_column, length, found)
