@@ -74,6 +74,38 @@ def test_cells_of_a_hot_key_are_even(spark, monkeypatch):
     assert max(r["count"] for r in tasks) < 3 * 3_000_000 / 8
 
 
+def test_rows_that_come_often_are_folded_and_others_left(spark):
+    (left, right), rows, others = sides(spark, 240, 150)
+    rows, others = rows + [("hot", -1)] * 300, others + [("hot", -2)] * 90 + [(None, -3)] * 500
+    left, right = spark.createDataFrame(rows, left.schema), spark.createDataFrame(others, right.schema)
+    folded, any_ = joins.fold_frequent(left, 1000, 100)
+    assert any_ and folded.columns == ["k", "x", "copies"]
+    assert sorted(map(repr, folded.collect())) == sorted(
+        [repr(r) for r in left.filter("x >= 0").withColumn("copies", F.lit(1)).collect()] + ["Row(k='hot', x=-1, copies=300)"]
+    )
+    same, any_ = joins.fold_frequent(left, 1000, 300)
+    assert same is left and not any_
+    for least in (400, 100, 50):  # rows to fold on no side, the left one, both
+        got = Counter(map(tuple, grid_join(left, right, ["k"], least_hot=least).collect()))
+        assert got == expected(rows, others)
+    for kind in ("DOUBLE", "FLOAT"):  # NaN meets nothing, as NULL
+        odd = spark.createDataFrame([(math.nan, 1), (None, 2), (-0.0, 3), (1.5, 4)], f"`a b` {kind}, x INT")
+        met = grid_join(odd, odd.withColumnRenamed("x", "y"), ["a b"])
+        assert sorted((r.x, r.y) for r in met.collect()) == [(3, 3), (4, 4)]
+
+
+def test_points_are_shuffled_once(spark):
+    """To the cells where they meet sites; not to be counted, nor to be folded, and nothing is unfolded per pair."""
+    points = spark.range(500).selectExpr("id", "id % 7 AS unread", "33 + id / 5000 AS lat", "-118D AS lon")
+    sites = spark.range(50).selectExpr("string(id) AS site", "33 + id / 500 AS lat", "-118D AS lon")
+    found = pairs_within(points, sites, 3.0).select("id", "site")
+    plan = plan_of(found)
+    assert plan.count("Exchange hashpartitioning") == 2 and "HashAggregate" not in plan and "SortMergeJoin" in plan
+    assert plan.index("SortMergeJoin") < plan.index("Generate")
+    want = {(p, str(s)) for p in range(500) for s in range(50) if km_between((33 + p / 5000, -118), (33 + s / 500, -118)) <= 3}
+    assert Counter(map(tuple, found.collect())) == Counter(want)
+
+
 def test_sums_of_pairs_beyond_a_bigint_are_exact(spark, tmp_path):
     """The right rows times the left sums; both sides hot, sums beyond and within 64 bits."""
     for scale, kind in ((1, "bigint"), (10**13, "decimal(38,0)")):
